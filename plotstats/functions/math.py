@@ -50,6 +50,12 @@ def sign(x: Column) -> Column:
     return F.signum(x)
 
 
+def round_even(x: Column, digits: int) -> Column:
+    """Rounds the scaled value to the even neighbour, as array libraries do."""
+    scale = float(10**digits)
+    return F.rint(_real(x) * scale) / scale
+
+
 def square(x: Column) -> Column:
     return x * x
 

@@ -8,10 +8,12 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plotstats.functions.math import round_even
 from plotstats.operators.skew import lookup_join
 from plotstats.schemas import QA_BANDS
 
 DAY = 86_400
+COORDINATE_DIGITS = 7
 # Mean earth radius in metres (fixed value).
 EARTH_RADIUS = 6371008.7714150598
 
@@ -39,8 +41,8 @@ def clean_observations(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "HAS_CLOUDFLAG": cloud_flag(F.col("QA60")),
-            "longitude": F.bround("longitude", 7),
-            "latitude": F.bround("latitude", 7),
+            "longitude": round_even(F.col("longitude"), COORDINATE_DIGITS),
+            "latitude": round_even(F.col("latitude"), COORDINATE_DIGITS),
             "time": F.floor(F.col("time") / 1000).cast("bigint"),
         }
     ).drop(*QA_BANDS)

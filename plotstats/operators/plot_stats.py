@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plotstats.functions.math import round_even
 from plotstats.operators.aggregates import grouped_stats
 from plotstats.operators.indices import MONTHLY_INDICES, SEASONAL_INDICES
 from plotstats.operators.observations import Season, clear_sky, in_days, with_season, year_month
@@ -59,7 +60,7 @@ def two_level_stats(
     def levels(rows: DataFrame, check_skew: bool) -> DataFrame:
         pixels = pixel_medians(rows, bands, indices, extra, share is not None, check_skew)
         stats = grouped_stats(pixels, ["id", *extra], wanted, check_skew)
-        values = [F.bround(F.col(c).cast("double"), DIGITS).alias(c) for c in wanted]
+        values = [round_even(F.col(c), DIGITS).alias(c) for c in wanted]
         return stats.select("id", *extra, *values)
 
     hot = hot_groups(obs, ["id"])

@@ -250,7 +250,7 @@ def plot_raster(obs: DataFrame, start: str, end: str, size: tuple[int, int] = RA
         "latitude",
         # Colours are stored as bytes; the index is moved to the byte scale and rounded.
         *[F.floor(c).cast("double").alias(b) for b, c in channels.items()],
-        F.bround(to_byte_scale(F.col("NDVI_m")), 0).alias("ndvi"),
+        F.rint(to_byte_scale(F.col("NDVI_m"))).alias("ndvi"),
     )
 
     def positions(axis: str, name: str) -> DataFrame:

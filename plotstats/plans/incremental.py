@@ -46,7 +46,7 @@ def incremental_features(spark, sf_dir):
 
 
 _CLEANED = (
-    "(select * exclude (longitude, latitude, time), round_even(longitude, 7) as longitude, round_even(latitude, 7) as latitude,"
+    "(select * exclude (longitude, latitude, time), round_even(longitude * 1e7, 0) / 1e7 as longitude, round_even(latitude * 1e7, 0) / 1e7 as latitude,"
     f" time // 1000 as time, QA60 in (1024, 2048) as HAS_CLOUDFLAG from {RAW_SQL})"
 )
 

@@ -42,7 +42,7 @@ def cloud_flag(spark, sf_dir):
 
 def round_coords(spark, sf_dir):
     df = raw_observations(spark, sf_dir)
-    return df.select("id", F.bround("longitude", 7).alias("longitude"), F.bround("latitude", 7).alias("latitude"))
+    return df.select("id", obs.round_even(F.col("longitude"), 7).alias("longitude"), obs.round_even(F.col("latitude"), 7).alias("latitude"))
 
 
 def clean_observations(spark, sf_dir):
@@ -247,11 +247,11 @@ QUERIES = {
     ),
     "round_coords": (
         round_coords,
-        f"select id, round_even(longitude, 7) as longitude, round_even(latitude, 7) as latitude from {RAW_SQL}",
+        f"select id, round_even(longitude * 1e7, 0) / 1e7 as longitude, round_even(latitude * 1e7, 0) / 1e7 as latitude from {RAW_SQL}",
     ),
     "clean_observations": (
         clean_observations,
-        "select id, round_even(longitude, 7) as longitude, round_even(latitude, 7) as latitude,"
+        "select id, round_even(longitude * 1e7, 0) / 1e7 as longitude, round_even(latitude * 1e7, 0) / 1e7 as latitude,"
         f" time // 1000 as time, B4, B8, QA60 in (1024, 2048) as HAS_CLOUDFLAG from {RAW_SQL}",
     ),
     "clear_sky_filter": (clear_sky_filter, f"select {ROW_SQL} from {OBS_SQL} where {CLEAR_SQL}"),

@@ -89,9 +89,9 @@ VEG_SQL = "count(*) filter (where SCL_m = 4) / nullif(cast(count(SCL_m) as doubl
 def level_sql(bands, indices, funs, extra="", scl=False, where="true") -> str:
     keys = f"id{', ' + extra if extra else ''}"
     stats = ", ".join(
-        f"round_even(cast({stat_sql(f, m + '_m')} as double), 5) as {m.lower()}_{f}" for m in [*bands, *indices] for f in funs
+        f"round_even(cast({stat_sql(f, m + '_m')} as double) * 1e5, 0) / 1e5 as {m.lower()}_{f}" for m in [*bands, *indices] for f in funs
     )
-    veg = f", round_even({VEG_SQL}, 5) as veg_pc" if scl else ""
+    veg = f", round_even({VEG_SQL} * 1e5, 0) / 1e5 as veg_pc" if scl else ""
     return f"select {keys}, {stats}{veg} from {pixel_sql(bands, indices, extra, where, scl)} group by {keys}"
 
 
@@ -153,7 +153,7 @@ def monthly_stats(spark, sf_dir):
 
 def monthly_min_max_med(spark, sf_dir):
     wide = ps.monthly_min_max_med(ps.monthly_stats(observations(spark, sf_dir)))
-    return wide.select("id", *[F.round(c, 4).alias(c) if c.endswith("_med") else F.col(c) for c in wide.columns[1:]])
+    return wide.select("id", *[F.round(c, 9).alias(c) if c.endswith("_med") else F.col(c) for c in wide.columns[1:]])
 
 
 def _index(name, function, bands):
@@ -256,7 +256,7 @@ QUERIES = {
     "plot_stats": (plot_stats, PLOT_STATS_SQL),
     "veg_share": (
         veg_share,
-        f"select id, round_even({VEG_SQL}, 5) as veg_pc, cast(count(*) filter (where SCL_m = 4) //"
+        f"select id, round_even({VEG_SQL} * 1e5, 0) / 1e5 as veg_pc, cast(count(*) filter (where SCL_m = 4) //"
         f" nullif(count(SCL_m), 0) as double) as veg_pc_compat from {pixel_sql(['B4'], SEASONAL_SQL, scl=True)} group by id",
     ),
     "left_join_features": (
@@ -280,7 +280,7 @@ QUERIES = {
         monthly_min_max_med,
         "select id, "
         + ", ".join(
-            [f"min({c}) as {c}_min, max({c}) as {c}_max, round(median({c}), 4) as {c}_med" for c in MONTHLY_COLUMNS]
+            [f"min({c}) as {c}_min, max({c}) as {c}_max, round(median({c}), 9) as {c}_med" for c in MONTHLY_COLUMNS]
         )
         + f" from ({MONTHLY_SQL_TEXT}) group by id",
     ),
