@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from plotstats.operators.skew import BROADCAST_BYTES, join_groups
 from plotstats.session import materialize
 
-BLOCK = 16
-RANGES = BLOCK * BLOCK
+RANGES = 256  # 2 ** 8
 SPLIT_POINTS = [i / RANGES for i in range(1, RANGES)]
 
 
@@ -30,14 +29,18 @@ def tally(df: DataFrame, groups: Sequence[str], value: Column) -> DataFrame:
     )
 
 
-def _range_of(value: Column, splits: Column) -> Column:
-    """Number of split points below `value`: first among every 16th, then inside that block."""
-    def below(points: Column) -> Column:
-        return F.size(F.filter(points, lambda s: s < value))
+# Halving steps of a binary search among the split points.
+STEPS = [2**i for i in reversed(range(8))]
 
-    every = F.transform(F.sequence(F.lit(BLOCK), F.lit(RANGES - BLOCK), F.lit(BLOCK)), lambda i: F.get(splits, i - 1))
-    block = below(every)
-    return block * BLOCK + below(F.slice(splits, block * BLOCK + 1, F.lit(BLOCK - 1)))
+
+def _with_range(df: DataFrame, splits: Column) -> DataFrame:
+    """Adds `range`, the number of split points below `value`."""
+    found = F.reduce(
+        F.array(*[F.lit(s) for s in STEPS]),
+        F.lit(0),
+        lambda at, step: at + F.when(F.get(splits, at + step - 1) < F.col("value"), step).otherwise(0),
+    )
+    return df.withColumn("range", found)
 
 
 def _split_points() -> Column:
@@ -55,12 +58,14 @@ def group_ranks(
     depend on them.
     """
     groups = list(groups)
+    # Read three times below.
+    counts = materialize(counts)
     splits = materialize(
         counts.groupBy(*groups).agg(F.sum("n").alias("total"), _split_points().alias("splits"))
     )
     if splits.count() * RANGES * 8 <= BROADCAST_BYTES:
         splits = F.broadcast(splits)
-    ranged = join_groups(counts, splits, groups).withColumn("range", _range_of(F.col("value"), F.col("splits")))
+    ranged = _with_range(join_groups(counts, splits, groups), F.col("splits"))
     in_group = Window.partitionBy(*groups).orderBy("range")
     wanted = F.array(*[F.struct(F.lit(k).alias("name"), f(F.col("total")).alias("rank")) for k, f in ranks.items()])
     targets = (
@@ -92,13 +97,15 @@ def global_ranks(counts: DataFrame, ranks: Callable[[int], Mapping[str, int]]) -
     points and the range totals only, at most `RANGES` numbers each.
     """
     spark = counts.sparkSession
+    # Read three times below.
+    counts = materialize(counts)
     top = counts.agg(F.sum("n").alias("total"), _split_points().alias("splits")).first()
     wanted = {k: r for k, r in ranks(top["total"] or 0).items() if 1 <= r <= (top["total"] or 0)}
     kind = counts.schema["value"].dataType.simpleString()
     if not wanted:
         return spark.createDataFrame([], f"name string, rank bigint, value {kind}")
     splits = F.lit(top["splits"]).cast(f"array<{kind}>")
-    ranged = counts.withColumn("range", _range_of(F.col("value"), splits))
+    ranged = _with_range(counts, splits)
     held = {r["range"]: r["held"] for r in ranged.groupBy("range").agg(F.sum("n").alias("held")).collect()}
     before, at = {}, 0
     for r in sorted(held):

@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lon(key: str) -> str:
-    return f"(cast({key} % 340 as double) - 170 + 123e-3)"
+    return f"(cast({key} % 340 as double) - 170 + 123e-3 + floor({key} / 340) * 1e-2)"
 
 
 def _lat(key: str) -> str:
@@ -121,6 +121,11 @@ OBS_SQL = sql_view(_observation_columns(DUCK_SECONDS), "lineitem")
 RAW_SQL = sql_view(_raw_columns(DUCK_SECONDS), "lineitem")
 CLEAR_SQL = "((not HAS_CLOUDFLAG and MSK_CLDPRB is null) or (MSK_CLDPRB < 1e-1 and MSK_SNWPRB < 1e-1))"
 
+def _place(key: str) -> str:
+    """Three customers share a place."""
+    return f"({key} - {key} % 3)"
+
+
 # Points around the plots, with the records fetched for them.
 POINT_VIEW = {
     "point_id": "c_custkey",
@@ -130,8 +135,8 @@ POINT_VIEW = {
 }
 PIXEL_VIEW = {
     "point_id": "o_custkey",
-    "longitude": f"{_lon('o_custkey')} + (o_orderkey % 5 - 2) * 1e-4",
-    "latitude": f"{_lat('o_custkey')} + (o_orderkey % 3 - 1) * 1e-4",
+    "longitude": f"{_lon(_place('o_custkey'))} + (o_orderkey % 5 - 2) * 1e-4",
+    "latitude": f"{_lat(_place('o_custkey'))} + (o_orderkey % 3 - 1) * 1e-4",
     "B1": "floor(o_totalprice / 100) + 0e0",
     "B2": "o_totalprice % 1000",
 }
@@ -139,8 +144,8 @@ PIXEL_VIEW = {
 # tenth plot stands on its neighbour.
 SAMPLE_VIEW = {
     "sample_id": "c_custkey",
-    "longitude": f"{_lon('c_custkey')} + (c_custkey % 7 - 3) * 4e-4",
-    "latitude": f"{_lat('c_custkey')} + (c_custkey % 5 - 2) * 2e-4",
+    "longitude": f"{_lon(_place('c_custkey'))} + (c_custkey % 7 - 3) * 4e-4",
+    "latitude": f"{_lat(_place('c_custkey'))} + (c_custkey % 5 - 2) * 2e-4",
     "B1": "c_acctbal",
 }
 _DOUBLED = "(s_suppkey - case when s_suppkey % 10 = 9 then 1 else 0 end)"
