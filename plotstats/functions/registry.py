@@ -110,7 +110,18 @@ def _quartile(k: int) -> str:
     return f"({low} + {high}) / 2"
 
 
+_SPREAD = "aggregate(v, 0D, (a, x) -> a + (x - aggregate(v, 0D, (b, y) -> b + y) / size(v)) * (x - aggregate(v, 0D, (b, y) -> b + y) / size(v)))"
+_VARIANCE = f"case when size(v) > 1 then {_SPREAD} / (size(v) - 1) else 0D end"
+_TIMES = "transform(array_distinct(v), d -> size(filter(v, x -> x = d)))"
+_MODE = (
+    f"case when size(filter({_TIMES}, n -> n = array_max({_TIMES}))) = 1"
+    f" then get(array_distinct(v), cast(array_position({_TIMES}, array_max({_TIMES})) as int) - 1) end"
+)
+
 ARRAY_AGGREGATES: dict[str, str] = {
+    "mode_of": _MODE,
+    "variance_of": _VARIANCE,
+    "stdev_of": f"sqrt({_VARIANCE})",
     "median_of": _quartile(2),
     "lower_quartile_of": _quartile(1),
     "upper_quartile_of": _quartile(3),

@@ -97,8 +97,8 @@ def sound_code(s: Column) -> Column:
 def difference(a: Column, b: Column) -> Column:
     """Number of equal positions (0 to 4) of the two sound codes."""
     x, y = sound_code(a), sound_code(b)
-    same = [F.when(F.substring(x, i, 1) == F.substring(y, i, 1), 1).otherwise(0) for i in range(1, 5)]
-    return F.when(a.isNotNull() & b.isNotNull(), same[0] + same[1] + same[2] + same[3])
+    same = F.zip_with(F.split(x, ""), F.split(y, ""), lambda p, q: p == q)
+    return F.when(a.isNotNull() & b.isNotNull(), F.size(F.filter(same, lambda equal: equal)))
 
 
 def ltrim(s: Column) -> Column:

@@ -46,12 +46,14 @@ def two_level_stats(
     funs: Sequence[str],
     extra: Sequence[str] = (),
     share: str | None = None,
+    census: DataFrame | None = None,
 ) -> DataFrame:
     """One row per plot (and `extra` keys) with `funs` of every band and index.
 
     Rows of an ordinary plot travel once: partitioned by plot they satisfy both
     groupings. A plot with too many rows for one task is grouped by pixel first, and
-    each of its two levels is checked for skew on its own.
+    each of its two levels is checked for skew on its own. `census` is a cheaper table
+    that holds at least as many rows of every plot, to look for large plots in.
     """
     wanted = {f"{m.lower()}_{f}": (f, f"{m}_m") for m in [*bands, *indices] for f in funs}
     if share:
@@ -63,7 +65,7 @@ def two_level_stats(
         values = [round_even(F.col(c), DIGITS).alias(c) for c in wanted]
         return stats.select("id", *extra, *values)
 
-    hot = hot_groups(obs, ["id"])
+    hot = hot_groups(obs if census is None else census, ["id"])
     if hot is None:
         return levels(obs.repartition("id"), False)
     hot_rows, cold_rows = split_hot(obs, ["id"], hot)
@@ -78,8 +80,9 @@ def plot_stats(
     obs: DataFrame, start: str, end: str, bands: Sequence[str] = BANDS, compat: bool = False
 ) -> DataFrame:
     """Seven statistics of every band and of NDVI, and the vegetation share, for one period."""
-    clear = obs.where(in_days(start, end)).where(clear_sky())
-    return two_level_stats(clear, bands, SEASONAL_INDICES, SEASONAL_STATS, share=_share(compat))
+    period = obs.where(in_days(start, end))
+    clear = period.where(clear_sky())
+    return two_level_stats(clear, bands, SEASONAL_INDICES, SEASONAL_STATS, share=_share(compat), census=period)
 
 
 def left_join_features(plots: DataFrame, features: DataFrame) -> DataFrame:
@@ -94,8 +97,9 @@ def season_stats(
 
     One pass over the observations; a season without data stays NULL.
     """
-    clear = with_season(obs.where(clear_sky()), seasons)
-    long = two_level_stats(clear, bands, SEASONAL_INDICES, SEASONAL_STATS, ["season"], _share(compat))
+    period = obs.where(in_days(min(a for a, _ in seasons), max(b for _, b in seasons)))
+    clear = with_season(period.where(clear_sky()), seasons)
+    long = two_level_stats(clear, bands, SEASONAL_INDICES, SEASONAL_STATS, ["season"], _share(compat), period)
     values = [c for c in long.columns if c not in ("id", "season")]
     numbers = list(range(len(seasons)))
     wide = long.groupBy("id").pivot("season", numbers).agg(F.first(F.struct(*values), ignorenulls=True))
@@ -153,7 +157,7 @@ def monthly_stats(obs: DataFrame, use_all: bool = True, bands: Sequence[str] | N
     """Six statistics of bands and five indices per plot and month (`yyyy-MM`)."""
     bands = bands or (BANDS if use_all else MONTHLY_BANDS)
     clear = obs.where(clear_sky()).withColumn("year_month", year_month(F.col("time")))
-    return two_level_stats(clear, bands, MONTHLY_INDICES, MONTHLY_STATS, ["year_month"])
+    return two_level_stats(clear, bands, MONTHLY_INDICES, MONTHLY_STATS, ["year_month"], census=obs)
 
 
 def monthly_min_max_med(monthly: DataFrame) -> DataFrame:

@@ -129,8 +129,8 @@ def _place(key: str) -> str:
 # Points around the plots, with the records fetched for them.
 POINT_VIEW = {
     "point_id": "c_custkey",
-    "longitude": _lon("c_custkey"),
-    "latitude": _lat("c_custkey"),
+    "longitude": _lon(_place('c_custkey')),
+    "latitude": _lat(_place('c_custkey')),
     "acctbal": "c_acctbal",
 }
 PIXEL_VIEW = {
