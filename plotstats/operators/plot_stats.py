@@ -14,6 +14,7 @@ from plotstats.operators.indices import MONTHLY_INDICES, SEASONAL_INDICES
 from plotstats.operators.observations import Season, clear_sky, in_days, with_season, year_month
 from plotstats.operators.skew import hot_groups, split_hot
 from plotstats.schemas import BANDS, MONTHLY_BANDS, MONTHLY_STATS, SEASONAL_STATS
+from plotstats.session import materialize
 
 PIXEL = ["id", "longitude", "latitude"]
 DIGITS = 5
@@ -61,6 +62,9 @@ def two_level_stats(
 
     def levels(rows: DataFrame, check_skew: bool) -> DataFrame:
         pixels = pixel_medians(rows, bands, indices, extra, share is not None, check_skew)
+        if check_skew:
+            # Read again by every step for the large plots.
+            pixels = materialize(pixels)
         stats = grouped_stats(pixels, ["id", *extra], wanted, check_skew)
         values = [round_even(F.col(c), DIGITS).alias(c) for c in wanted]
         return stats.select("id", *extra, *values)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,18 +23,27 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def read_csv_below_title(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Many small CSV files whose header is on the second line.
+    """CSV files whose header is on the second line.
 
-    Adds `line` (0 for the first record) and `file`. Each file is read whole, which keeps its
-    line numbers; files hold the records of a few points.
+    Adds `line` (0 for the first record) and `file`. Lines are numbered per block of a file and
+    the blocks are lined up by their sizes, so a large file is read by many tasks.
     """
-    files = spark.read.text(path, wholetext=True).select(
-        F.regexp_replace("value", "\r\n?", "\n").alias("value"), F.col("_metadata.file_path").alias("file")
+    block = ["file", "block"]
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("_order"),
     )
-    lines = files.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "text"))
-    records = lines.where("pos >= 2 and text <> ''")
-    parsed = records.withColumn("r", F.from_csv("text", schema.simpleString()[len("struct<"):-1].replace(":", " ")))
-    return parsed.select("r.*", (F.col("pos") - 2).cast("bigint").alias("line"), "file")
+    sizes = lines.groupBy(*block).agg(F.count(F.lit(1)).alias("_held"))
+    upto = F.sum("_held").over(Window.partitionBy("file").orderBy("block"))
+    starts = sizes.select(*block, (upto - F.col("_held")).alias("_start"))
+    in_block = F.row_number().over(Window.partitionBy(*block).orderBy("_order")) - 1
+    numbered = lines.withColumn("_in_block", in_block).join(starts, block)
+    records = numbered.withColumn("line", F.col("_start") + F.col("_in_block") - 2).where("line >= 0 and value <> ''")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = records.withColumn("r", F.from_csv("value", fields))
+    return parsed.select("r.*", F.col("line").cast("bigint").alias("line"), "file")
 
 
 def read_keyed_files(

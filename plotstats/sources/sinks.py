@@ -8,9 +8,11 @@ from plotstats.operators.tables import wkt_point
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Adds the rows to a parquet table. Rows of a region are written by as many tasks as hold them."""
-    writer = df.write.mode("append")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    """Adds the rows to a parquet table, optionally with one directory per value of a column."""
+    if partition_by:
+        write_partitioned(df, path, partition_by, mode="append")
+    else:
+        df.write.mode("append").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
@@ -22,8 +24,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def write_partitioned(df: DataFrame, path: str, column: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    """One directory per value of `column`."""
-    df.write.mode(mode).partitionBy(column).format(fmt).option("header", True).save(path)
+    """One directory per value of `column`.
+
+    Rows are brought together by value, so a directory gets few files; the rebalance
+    splits a value that holds much more than the others.
+    """
+    df.hint("rebalance", column).write.mode(mode).partitionBy(column).format(fmt).option("header", True).save(path)
 
 
 def write_bounded(df: DataFrame, path: str, rows: int = 5300, fmt: str = "csv", mode: str = "errorifexists") -> None:

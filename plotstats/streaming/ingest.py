@@ -12,6 +12,9 @@ from plotstats.operators.observations import clean_observations
 from plotstats.operators.skew import lookup_join
 from plotstats.schemas import RAW_OBSERVATIONS
 
+# Directories per batch of the observation table.
+BUCKETS = 256
+
 
 def _new_files(spark: SparkSession, source: str, schema: T.StructType, files_per_batch: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -63,19 +66,39 @@ def refresh_features(
     """Ingests like `ingest` and recomputes the features of the plots each batch touches.
 
     Exact order statistics cannot be updated in place, so `compute` runs over all stored
-    observations of the touched plots. Both tables are written per batch number: a batch
-    that is run again replaces its own output, and a reader takes the latest row per plot.
+    observations of the touched plots. These are stored by bucket of the plot id, so
+    only the buckets with a touched plot are read. Both tables are written per batch
+    number: a batch that is run again replaces its own output, and a reader takes the
+    latest row per plot.
     """
 
     def on_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        own = f"{observations}/batch={number}"
-        clean_observations(batch).write.mode("overwrite").parquet(own)
-        touched = session.read.parquet(own).select("id").distinct()
+        cleaned = clean_observations(batch).withColumns(
+            {"bucket": F.pmod(F.hash("id"), F.lit(BUCKETS)), "batch": F.lit(number)}
+        )
+        (
+            cleaned.hint("rebalance", "bucket")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch", "bucket")
+            .parquet(observations)
+        )
         # Every batch so far, whatever later files an earlier attempt may have left.
-        stored = session.read.parquet(observations).where(F.col("batch") <= number).drop("batch")
-        affected = lookup_join(stored, touched, ["id"], "left_semi")
-        compute(affected).write.mode("overwrite").parquet(f"{features}/batch={number}")
+        stored = session.read.parquet(observations).where(F.col("batch") <= number)
+        touched = stored.where(F.col("batch") == number).select("id", "bucket").distinct()
+        # At most BUCKETS numbers.
+        buckets = [r[0] for r in touched.select("bucket").distinct().collect()]
+        pruned = stored.where(F.col("bucket").isin(buckets)).drop("batch", "bucket")
+        affected = lookup_join(pruned, touched.select("id"), ["id"], "left_semi")
+        (
+            compute(affected)
+            .withColumn("batch", F.lit(number))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(features)
+        )
 
     query = (
         _new_files(spark, source, schema, files_per_batch)

@@ -5,12 +5,15 @@ import glob
 import pyarrow.csv
 import pyarrow.parquet
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plotstats.operators import joins, observations, plot_stats
 from plotstats.plans import catalogue
-from plotstats.plans.views import SEASONS, START, END, observations as stored, samples, sites
+from plotstats.plans.incremental import NEEDED
+from plotstats.plans.views import END, SEASONS, START, raw_observations, samples, sites
+from plotstats.plans.views import observations as stored
 from plotstats.session import scratch_path
-from plotstats.sources import sinks
+from plotstats.sources import readers, sinks
 from plotstats.streaming import ingest as stream
 
 SF = "/root/testdata/sf0.001"
@@ -67,3 +70,46 @@ def test_ingest_skips_known_ids(spark):
     known = spark.range(6)
     assert sorted(r[0] for r in stream.ingest_new_ids(fetched, known).collect()) == [6, 7, 8, 9]
     assert stream.ingest_new_ids(fetched, known.where(F.lit(False))).count() == 10
+
+
+def test_large_groups_are_split_by_hash_joins(spark, every_group_hot):
+    df = plot_stats.plot_stats(stored(spark, SF), START, END, ["B4"])
+    text = plan(df)
+    assert "Python" not in text and "NestedLoop" not in text and "CartesianProduct" not in text
+
+
+def test_lines_are_numbered_across_blocks(spark):
+    """A file cut into several blocks keeps its line numbers."""
+    path = scratch_path(spark, "titled")
+    body = "title\nk,v\n" + "\n".join(f"{i},{i * 2}" for i in range(5000)) + "\n"
+    spark.createDataFrame([(body,)], "value string").coalesce(1).write.text(path, lineSep="\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = readers.read_csv_below_title(spark, f"{path}/*.txt", T.StructType().add("k", "long").add("v", "long"))
+        rows = df.collect()
+        assert spark.read.text(path).rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r["line"], r["k"], r["v"]) for r in rows) == [(i, i, 2 * i) for i in range(5000)]
+
+
+def test_rerun_batches_replace_their_output(spark):
+    """A second ingest run over the same state and one more file gives each plot its latest row."""
+    source, observed, features, state = (scratch_path(spark, n) for n in ("raw", "obs", "features", "state"))
+    raw = raw_observations(spark, SF).select(*NEEDED)
+
+    def run():
+        stream.refresh_features(
+            spark, source, observed, features, state,
+            lambda df: df.groupBy("id").agg(F.count(F.lit(1)).alias("n")), raw.schema, files_per_batch=1,
+        )
+
+    raw.where("id < 6").coalesce(1).write.mode("append").parquet(source)
+    run()
+    raw.where("id >= 4").coalesce(1).write.mode("append").parquet(source)
+    run()
+    run()
+    got = {r["id"]: r["n"] for r in stream.latest_features(spark, features).collect()}
+    every = raw.where("id < 6").union(raw.where("id >= 4"))
+    assert got == {r["id"]: r["count"] for r in every.groupBy("id").count().collect()}
