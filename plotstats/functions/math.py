@@ -50,6 +50,11 @@ def sign(x: Column) -> Column:
     return F.signum(x)
 
 
+def sign_whole(x: Column) -> Column:
+    """Sign of a whole number, as a whole number."""
+    return F.signum(x).cast("bigint")
+
+
 def round_even(x: Column, digits: int) -> Column:
     """Rounds the scaled value to the even neighbour, as array libraries do."""
     scale = float(10**digits)

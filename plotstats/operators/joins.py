@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plotstats.operators.aggregates import grouped_stats
 from plotstats.operators.skew import JOIN_SHARE, hot_groups, lookup_join
+from plotstats.operators.tables import point_coordinates
 
 # Two coordinates agree when abs(a - b) <= ATOL + RTOL * abs(b) (fixed values).
 ATOL = 1e-8
@@ -118,10 +119,17 @@ def tolerance_join(
     """Left rows that agree with exactly one right row, with its columns; shared names get `_x`, `_y`."""
     matched = tolerance_matches(left, right, right_key, coords).where("matches = 1").drop("matches")
     matched = matched.withColumnRenamed(right_key, "_match")
-    keyed = lookup_join(left, matched, list(coords), "inner").select(*left.columns, "_match")
+    keyed = lookup_join(left, matched, list(coords), "inner")
     return inner_join_suffix(keyed, right, "_match", right_key).drop("_match")
 
 
+def join_exports(exports: DataFrame, plots: DataFrame, plot_key: str = "plot_id") -> DataFrame:
+    """Exported samples, placed by their geometry text `.geo`, with the one plot they agree with."""
+    lon, lat = point_coordinates(F.col("`.geo`"))
+    placed = exports.drop("system:index").withColumns({"longitude": lon, "latitude": lat})
+    return tolerance_join(placed, plots, plot_key)
+
+
 def tolerance_join_report(
     left: DataFrame, right: DataFrame, right_key: str, coords: tuple[str, str] = ("longitude", "latitude")
 ) -> DataFrame:
@@ -135,12 +143,12 @@ def tolerance_join_report(
 def inner_join_suffix(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
     """Inner join of each left row with its one right row; columns of both sides get `_x` and `_y`."""
     shared = set(left.columns) & set(right.columns)
-    a = left.select(*[F.col(c).alias(f"{c}_x") if c in shared else F.col(c) for c in left.columns])
-    b = right.select(*[F.col(c).alias(f"{c}_y") if c in shared else F.col(c) for c in right.columns])
+    a = left.select(*[F.col(f"`{c}`").alias(f"{c}_x" if c in shared else c) for c in left.columns])
+    b = right.select(*[F.col(f"`{c}`").alias(f"{c}_y" if c in shared else c) for c in right.columns])
     a_key = f"{left_on}_x" if left_on in shared else left_on
     b_key = f"{right_on}_y" if right_on in shared else right_on
     joined = lookup_join(a.withColumn("_on", F.col(a_key)), b.withColumn("_on", F.col(b_key)), ["_on"], "inner")
-    return joined.select(*a.columns, *b.columns)
+    return joined.drop("_on")
 
 
 def known_points(df: DataFrame, db: DataFrame, coords: Sequence[str] = ("longitude", "latitude")) -> DataFrame:
@@ -226,7 +234,10 @@ def update_by_key(df: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Dat
     renamed = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values])
     joined = lookup_join(df, renamed, list(keys), "left")
     return joined.select(
-        *[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in values else F.col(c) for c in df.columns]
+        *[
+            F.coalesce(F.col(f"`_new_{c}`"), F.col(f"`{c}`")).alias(c) if c in values else F.col(f"`{c}`")
+            for c in df.columns
+        ]
     )
 
 

@@ -86,7 +86,7 @@ def math_round(spark, sf_dir):
     return df.select(
         "k",
         m.sign(z).alias("f_sign"),
-        m.sign(i - 4).cast("bigint").alias("f_sign_int"),
+        m.sign_whole(i - 4).alias("f_sign_int"),
         m.ceil(z).alias("f_ceil"),
         m.floor(z).alias("f_floor"),
         m.square(i).cast("bigint").alias("f_square_int"),

@@ -167,7 +167,9 @@ def _model_rows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
             "l_tax",
         )
     ).withColumn("t", logit(F.col("tree_cover")))
-    return sampling.train_test_split(df, "row_id")
+    # Trees pass over the rows many times; few input files must not leave cores idle.
+    spread = df.repartition(spark.sparkContext.defaultParallelism, "row_id")
+    return sampling.train_test_split(spread, "row_id")
 
 
 def _report(model, test: DataFrame, label: str, transformed: bool) -> DataFrame:

@@ -17,6 +17,7 @@ DEFAULTS = {
     # falls back to sorting far too early for plots of a few dozen pixels.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -187,6 +187,18 @@ def test_tolerance_matches(spark, seed, spread):
     assert all(close(found[i][0], sites[j][0]) and close(found[i][1], sites[j][1]) for i, j in joined.items())
 
 
+def test_join_exports(spark):
+    exports = spark.createDataFrame(
+        [("a", 5.0, '{"type":"Point","coordinates":[113.87942859999998,-22.653845]}'),
+         ("b", 6.0, '{"type":"Point","coordinates":[10.0,10.0]}')],
+        "`system:index` string, B1 double, `.geo` string",
+    )
+    plots = spark.createDataFrame([(7, 113.87943003678768, -22.65385)], "plot_id int, longitude double, latitude double")
+    (row,) = joins.join_exports(exports, plots).collect()
+    assert row["plot_id"] == 7 and row["B1"] == 5.0 and row["longitude_y"] == 113.87943003678768
+    assert row[".geo"].startswith("{")
+
+
 def test_nearest_keeps_ties(spark):
     plots = spark.createDataFrame([(1, 0.0, 0.0)], "id int, longitude double, latitude double")
     pixels = spark.createDataFrame(
