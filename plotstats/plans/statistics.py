@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plotstats.operators import indices as ix
 from plotstats.operators import plot_stats as ps
 from plotstats.operators.aggregates import grouped_stats
-from plotstats.operators.observations import clear_sky, in_days, utc_date
+from plotstats.operators.observations import utc_date
 from plotstats.operators.raster import RASTER_BANDS, plot_raster as raster_query
 from plotstats.plans.views import CLEAR_SQL, END, OBS_SQL, PLOTS_SQL, SEASONS, START, observations, plots, table
 from plotstats.schemas import BANDS, MONTHLY_STATS, SEASONAL_STATS
