@@ -27,7 +27,9 @@ WINDOW = 2
 LEAST_COUNT = 3
 UNSEEN = 256
 HIDDEN = 32
+#: Passes over the sample, and steps of 64 rows at least, so that a small sample is learned too.
 EPOCHS = 60
+LEAST_STEPS = 2_000
 SEED = 7
 
 
@@ -187,7 +189,7 @@ def train(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     draw = np.random.default_rng(SEED)
     layers = [draw.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)), np.zeros(HIDDEN), draw.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
     first, second, step = [np.zeros_like(p) for p in layers], [np.zeros_like(p) for p in layers], 0
-    for _ in range(EPOCHS if len(x) else 0):
+    for _ in range(max(EPOCHS, LEAST_STEPS * 64 // len(x)) if len(x) else 0):
         order = draw.permutation(len(x))
         for at in np.array_split(order, max(1, len(x) // 64)):
             logit, hidden = forward(x[at], layers)
