@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotstats.llm.graph import components
@@ -23,7 +23,11 @@ from plotstats.llm.text import mix, raw, shingle_set, texts_of, word_hashes
 #: Upper ends of the size bands, each about half as large again as the one before.
 FIRST_BAND = 8
 #: Blocks beyond the least number, in hundredths of it; rows with more empty blocks than these also use single columns.
-SPARE_PERCENT = 2
+SPARE_PERCENT = 6
+#: The lowest bit of a key tells those of single columns from those of blocks.
+SINGLE = np.uint64(1)
+#: Sizes beyond the last band end in it: more words than any text has.
+LARGEST = 1 << 40
 
 
 def bands(size: int) -> int:
@@ -60,12 +64,27 @@ def block_keys(columns: np.ndarray, percent: int) -> np.ndarray:
         block = ((columns >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
         first = np.flatnonzero(np.diff(block, prepend=np.uint64(1 << 63)) != 0)
         salt = mix(block[first] + np.uint64(top << 24))
-        keys.append(mix(np.add.reduceat(mixed, first) + salt))
+        keys.append(mix(np.add.reduceat(mixed, first) + salt) & ~SINGLE)
         if blocks - len(first) > spare:
-            keys.append(mix(mixed[: n - -(-n * percent // 100) + 1] ^ np.uint64(top)))
+            keys.append(mix(mixed[: n - -(-n * percent // 100) + 1] ^ np.uint64(top)) | SINGLE)
     return np.concatenate(keys)
 
 
+def least_agreement(x: Column, y: Column, percent: int) -> Column:
+    """Blocks with columns on which similar rows of these sizes agree at least.
+
+    Of the least number of blocks and the spare ones, as many differ as columns do at most, and the spare number may be empty.
+    """
+    tops, size = [FIRST_BAND], F.greatest(x, y)
+    while tops[-1] < LARGEST:
+        tops.append(tops[-1] + tops[-1] // 2)
+    blocks = F.lit(blocks_of(tops[-1], percent)[0])
+    for top in reversed(tops[:-1]):
+        least, spare = blocks_of(top, percent)
+        blocks = F.when(size <= top, F.lit(least - spare)).otherwise(blocks)
+    return blocks - F.floor((x + y) * (100 - percent) / (100 + percent))
+
+
 def node_of(columns: np.ndarray) -> int:
     """A number for a set; equal sets have equal numbers."""
     total = mix(columns).sum(dtype=np.uint64) + np.uint64(len(columns))
@@ -125,6 +144,12 @@ def _product(percent: int):
     return product
 
 
+def agreements() -> list[Column]:
+    """Of the keys that a pair has in common: those of blocks, those of single columns."""
+    single = F.col("key").bitwiseAND(F.lit(1))
+    return [F.sum(1 - single).alias("blocks"), F.sum(single).alias("columns")]
+
+
 class NgramJoin:
     """The join over one table of documents; `percent` is the similarity in hundredths, `n` the words of an n-gram."""
 
@@ -141,35 +166,45 @@ class NgramJoin:
     def links(self) -> DataFrame:
         """(a, b) between sets, enough of them to connect all that are connected, each of them verified.
 
-        Sets that agree on a block are first compared with the smallest set of that block only. What this leaves in different
-        components of a block is then compared pair by pair, so no link between different components is lost and the pairs
-        within a group of copies are never listed.
+        Each set is first compared with one set only: of the smallest sets of its blocks, the one it shares most blocks with. What
+        this leaves in different components of a block is then compared pair by pair, so no link between different
+        components is lost and the pairs within a group of copies are never listed.
         """
         keys = self.docs.mapInPandas(_keys(self.n, self.percent), "key long, node long")
-        shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key", "least")
-        members = saved(keys.join(shared, "key").distinct())
-        stars = self._verified(members.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")))
+        shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("rows")).where("rows > 1").select("key", "least")
+        members = keys.join(shared, "key").distinct().join(self.sets.select("node", "n"), "node")
+        members = saved(members.select("key", "node", "least", "n"))
+        stars = members.where("node != least").groupBy(F.col("least").alias("a"), F.col("node").alias("b")).agg(*agreements(), F.max("n").alias("nb"))
+        stars = stars.groupBy("b").agg(F.max(F.struct("blocks", "columns", "a", "nb")).alias("best")).select("b", "best.*")
+        stars = self._verified(stars.join(self.sets.select(F.col("node").alias("a"), F.col("n").alias("na")), "a"))
         return stars.union(self._verified(self._across(members, saved(components(stars)))))
 
-    @staticmethod
-    def _across(members: DataFrame, groups: DataFrame) -> DataFrame:
+    def _across(self, members: DataFrame, groups: DataFrame) -> DataFrame:
         """Pairs that agree on a block from different components. Of each block, only members outside the component of its
         smallest set are paired with all others, since two members of one component need no link."""
-        labelled = members.join(groups, "node", "left").select("key", "node", "least", F.coalesce("component", "node").alias("label"))
+        labelled = members.join(groups, "node", "left").select("key", "node", "least", "n", F.coalesce("component", "node").alias("label"))
         head = labelled.where("node = least").select("key", F.col("label").alias("head"))
         labelled = saved(labelled.join(head, "key"))
-        minor = labelled.where("label != head").select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-        pairs = minor.join(labelled.select("key", F.col("node").alias("b"), F.col("label").alias("lb")), "key").where("la != lb")
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        minor = labelled.where("label != head").select("key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), "head")
+        every = labelled.select(F.col("key").alias("_key"), F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"))
+        # a pair of two minor members comes once, from its smaller side
+        once = (F.col("ly") == F.col("head")) | (F.col("x") < F.col("y"))
+        near = F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * self.percent
+        pairs = minor.join(every, (F.col("key") == F.col("_key")) & (F.col("lx") != F.col("ly")) & once & near)
+        first = F.col("x") < F.col("y")
+        ends = [F.when(first, F.col(p)).otherwise(F.col(q)).alias(name) for p, q, name in (("x", "y", "a"), ("y", "x", "b"), ("nx", "ny", "na"), ("ny", "nx", "nb"))]
+        pairs = pairs.select("key", *ends)
+        return pairs.groupBy("a", "b").agg(*agreements(), F.max("na").alias("na"), F.max("nb").alias("nb"))
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        sizes = self.sets.select("node", "n")
-        pairs = pairs.distinct().join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-        # the bound from the sizes alone
-        pairs = saved(pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent).select("a", "b"))
+        """The (a, b) whose overlap reaches the bound, of `pairs` with their sizes and the blocks and columns they agree on."""
+        # the bounds from the sizes: of the sizes themselves, and of the blocks gathered so far
+        near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
+        enough = (F.col("blocks") >= least_agreement(F.col("na"), F.col("nb"), self.percent)) | (F.col("columns") > 0)
+        pairs = saved(pairs.where(near & enough).select("a", "b"))
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         names = handy(saved(self.sets.join(nodes, "node", "left_semi").select(F.col("name").alias("id"))))
-        rows = saved(self.docs.join(names, "id", "left_semi").mapInPandas(_rows(self.n), "node long, columns binary").dropDuplicates(["node"]))
+        rows = self.docs.join(names, "id", "left_semi").mapInPandas(_rows(self.n), "node long, columns binary").dropDuplicates(["node"])
         both = pairs.join(rows.toDF("a", "x"), "a").join(rows.toDF("b", "y"), "b")
         return saved(both.mapInPandas(_product(self.percent), "a long, b long"))
 
