@@ -1,0 +1,51 @@
+"""The registered queries: against their SQL, and the stages of the pipeline against plain versions of what they decide."""
+
+import pytest
+from compare import DATA, connect, differences
+
+import corpus_pipeline
+from plotstats.llm.queries import QUERIES
+
+SF = f"{DATA}/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(n for n, (_, sql) in QUERIES.items() if sql))
+def test_query(spark, name):
+    function, sql = QUERIES[name]
+    message, *_ = differences(spark, connect(SF), name, function, sql, SF)
+    assert message is None
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, SF)
+        assert after.columns == docs.columns and after.dtypes == docs.dtypes
+        ids, kept = {r[0] for r in before.select("doc_id").collect()}, [r[0] for r in after.select("doc_id").collect()]
+        assert set(kept) <= ids and len(kept) == len(set(kept))
+        # stages drop copies and leaks, not the bulk of clean documents
+        assert len(kept) > 0.7 * len(ids)
+        before = spark.createDataFrame(after.collect(), docs.schema)
+    texts = [" ".join(r["text"].split()) for r in before.collect()]
+    items = [" ".join(r["text"].split()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert not any(item in text for item in items for text in texts)
+    last = corpus_pipeline.STAGES[-1][1](spark, before, SF)
+    assert last.count() == before.count()
+
+
+def test_pipeline_on_odd_rows(spark, documents, prose):
+    rows = [(i, " ".join(prose(i, 60)), "en", "s") for i in range(20)] + [(100, None, "en", None), (101, "", None, "s"), (102, "12 34", "en", "s"), (None, " ".join(prose(70, 50)), "en", "s")]
+    rows += [(103, rows[0][1], "en", "s"), rows[1]]
+    docs = documents(rows)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == documents([]).columns
+    ids = [r["doc_id"] for r in docs.collect()]
+    # texts without letters and the copy are gone; the rest stays, the row without identifier and the repeated row too
+    assert sorted(ids, key=lambda x: (x is None, x)) == sorted([*range(20), 1]) + [None]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 22
+    nothing = documents([])
+    for _, stage in corpus_pipeline.STAGES:
+        nothing = stage(spark, nothing, SF) if nothing is not None else None
+    assert nothing.count() == 0
