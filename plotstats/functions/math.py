@@ -62,7 +62,8 @@ def round_even(x: Column, digits: int) -> Column:
 
 
 def square(x: Column) -> Column:
-    return x * x
+    """Whole numbers are squared in 64 bits; NULL beyond them."""
+    return F.try_multiply(x * F.lit(1).cast("bigint"), x)
 
 
 def ceil(x: Column) -> Column:
@@ -88,5 +89,5 @@ def inverse_logit(x: Column) -> Column:
 
 
 def clamp_cover(p: Column) -> Column:
-    """Predicted cover limited to [0, 0.95]."""
-    return F.when(p > 0.95, 0.95).when(p < 0, 0.0).otherwise(p)
+    """Predicted cover limited to [0, 0.95]; NaN stays."""
+    return F.when(F.isnan(p), p).when(p > 0.95, 0.95).when(p < 0, 0.0).otherwise(p)

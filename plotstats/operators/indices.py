@@ -26,6 +26,7 @@ def gdvi(b3: Column, b8: Column) -> Column:
 
 
 def msavi2(b4: Column, b8: Column) -> Column:
+    b4, b8 = b4.cast("double"), b8.cast("double")
     base = 2 * b8 + 1
     return (base - F.sqrt(base * base - 8 * (b8 - b4))) * 0.5
 

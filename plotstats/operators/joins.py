@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plotstats.operators.aggregates import grouped_stats
 from plotstats.operators.skew import JOIN_SHARE, hot_groups, lookup_join
-from plotstats.operators.tables import point_coordinates
+from plotstats.operators.tables import missing, point_coordinates
 
 # Two coordinates agree when abs(a - b) <= ATOL + RTOL * abs(b) (fixed values).
 ATOL = 1e-8
@@ -219,19 +219,25 @@ def nearest_run(
     named = points.select(index, F.col("longitude").alias("_lon0"), F.col("latitude").alias("_lat0"))
     pairs = chunk_key_join(named, index, chunks.select(chunk, line, "longitude", "latitude"), chunk, size)
     dist2 = squared_distance(F.col("longitude"), F.col("latitude"), F.col("_lon0"), F.col("_lat0"))
+    # a record without coordinates is near to nothing
+    pairs = pairs.where(dist2.isNotNull() & ~F.isnan(dist2))
     starts = pairs.groupBy(index, chunk).agg(F.min(F.struct(dist2.alias("d"), F.col(line).alias("at"))).alias("best"))
     lines = starts.select(index, chunk, F.explode(F.sequence(F.col("best.at"), F.col("best.at") + (run - 1))).alias(line))
     return lines.join(chunks, [chunk, line])
 
 
 def null_run_count(runs: DataFrame, index: str, value: str, name: str = "no_burn") -> DataFrame:
-    return runs.groupBy(index).agg(F.count_if(F.col(value).isNull()).alias(name))
+    return runs.groupBy(index).agg(F.count_if(missing(runs, value)).alias(name))
 
 
 def update_by_key(df: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Writes the non-null values of `updates` (one row per key) over those of the matching rows."""
+    """Writes the non-null values of `updates` over those of the matching rows.
+
+    Of several updates of one key, the row whose values sort last holds; rows never multiply.
+    """
     values = [c for c in updates.columns if c not in keys]
-    renamed = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values])
+    last = updates.groupBy(*keys).agg(F.max(F.struct(*[F.col(c).alias(f"_new_{c}") for c in values])).alias("_last"))
+    renamed = last.select(*keys, "_last.*")
     joined = lookup_join(df, renamed, list(keys), "left")
     return joined.select(
         *[
@@ -245,6 +251,8 @@ def zonal_reduce(pixels: DataFrame, plots: DataFrame, key: str, bands: Sequence[
     """First (nearest to the centre, then smallest coordinates) and median value per plot."""
     rows = with_distance(pixels, plots, key)
     place = F.struct("dist2", "longitude", "latitude", *[F.coalesce(F.col(b).cast("double"), F.lit(0.0)) for b in bands])
+    # a pixel without coordinates is never the first: an order that is null does not count
+    place = F.when(F.col("dist2").isNotNull() & ~F.isnan("dist2"), place)
     first = rows.groupBy(key).agg(*[F.min_by(b, place).alias(f"{b}_first") for b in bands])
     med = grouped_stats(rows, [key], {f"{b}_median": ("median", b) for b in bands})
     return first.join(med, key)

@@ -13,7 +13,7 @@ from plotstats.operators.aggregates import grouped_stats
 from plotstats.operators.indices import MONTHLY_INDICES, SEASONAL_INDICES
 from plotstats.operators.observations import Season, clear_sky, in_days, with_season, year_month
 from plotstats.operators.skew import hot_groups, split_hot
-from plotstats.schemas import BANDS, MONTHLY_BANDS, MONTHLY_STATS, SEASONAL_STATS
+from plotstats.schemas import BANDS, DIFF_STATS, MONTHLY_BANDS, MONTHLY_STATS, SEASONAL_STATS, TRAINING_BANDS
 from plotstats.session import materialize
 
 PIXEL = ["id", "longitude", "latitude"]
@@ -110,11 +110,8 @@ def season_stats(
     return wide.select("id", *[F.col(f"`{i}`.{c}").alias(f"{c}_s{i}") for i in numbers for c in values])
 
 
-def season_diff(
-    features: DataFrame, bands: Sequence[str] = ("B1", "B2", "B12", "B4", "NDVI", "B3"), seasons: int = 3
-) -> DataFrame:
-    """Adds the spread of each statistic over the seasons; quartiles and means not for B1 to B3."""
-    skipped = {(b, f) for b in ("B1", "B2", "B3") for f in ("lower_quartile", "upper_quartile", "avg")}
+def season_diff(features: DataFrame, bands: Sequence[str] = tuple(DIFF_STATS), seasons: int = 3) -> DataFrame:
+    """Adds the spread over the seasons of the statistics that `DIFF_STATS` lists for each band."""
 
     def spread(name: str) -> Column:
         values = [F.col(f"{name}_s{i}") for i in range(seasons)]
@@ -124,23 +121,22 @@ def season_diff(
         {
             f"diff_{f}_{b.lower()}": spread(f"{b.lower()}_{f}")
             for b in bands
-            for f in SEASONAL_STATS
-            if (b, f) not in skipped
+            for f in DIFF_STATS.get(b, SEASONAL_STATS)
         }
     )
 
 
-def improved_columns(columns: Sequence[str], seasons: int = 3) -> list[str]:
-    """Feature columns kept for training: no means and quartiles except of B12, B4 and NDVI,
-    and none of the vegetation share, B6, B7, B8, B11."""
-    kept = []
-    for c in columns:
-        name = c.upper()
-        weak = ("QUARTILE" in name or "AVG" in name) and not any(b in name for b in ("B12", "B4", "NDVI"))
-        dropped = any(b in name for b in ("VEG_PC", "B7", "B8", "B11", "B6"))
-        if not weak and not dropped:
-            kept.append(c)
-    return kept
+def improved_columns(columns: Sequence[str]) -> list[str]:
+    """Columns kept for training: those of no band, and those that `TRAINING_BANDS` allows their band."""
+
+    def allowed(parts: set[str]) -> bool:
+        level = bool(parts & {"AVG", "QUARTILE"})
+        for band in (*BANDS, "NDVI"):
+            if band in parts:
+                return band in TRAINING_BANDS and (TRAINING_BANDS[band] or not level)
+        return not level and not {"VEG", "PC"} <= parts
+
+    return [c for c in columns if allowed(set(re.findall("[A-Z0-9]+", c.upper())))]
 
 
 def wide_names(df: DataFrame) -> DataFrame:

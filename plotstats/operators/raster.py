@@ -31,10 +31,11 @@ def image_shapes(pixels: DataFrame) -> DataFrame:
         (F.max("row") + 1).cast("bigint").alias("height"),
         (F.max("col") + 1).cast("bigint").alias("width"),
         F.count(F.lit(1)).alias("n"),
+        F.count_distinct("row", "col").alias("cells"),
         F.min("row").alias("first_row"),
         F.min("col").alias("first_col"),
     ).select("image_id", "height", "width", (
-        (F.col("n") == F.col("height") * F.col("width")) & (F.col("first_row") >= 0) & (F.col("first_col") >= 0)
+        (F.col("n") == F.col("height") * F.col("width")) & (F.col("n") == F.col("cells")) & (F.col("first_row") >= 0) & (F.col("first_col") >= 0)
     ).alias("complete"))
 
 

@@ -37,8 +37,14 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 
 def null_census(df: DataFrame) -> DataFrame:
-    """One row with the number of NULLs of every column."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    """One row with the number of NULLs and NaNs of every column."""
+    return df.agg(*[F.count_if(missing(df, c)).alias(c) for c in df.columns])
+
+
+def missing(df: DataFrame, column: str) -> Column:
+    """NULL, or NaN in a column of floating-point numbers."""
+    value = F.col(f"`{column}`")
+    return value.isNull() | F.isnan(value) if dict(df.dtypes)[column] in ("float", "double") else value.isNull()
 
 
 def canonical_schema(df: DataFrame) -> DataFrame:

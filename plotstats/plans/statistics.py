@@ -10,7 +10,7 @@ from plotstats.operators.aggregates import grouped_stats
 from plotstats.operators.observations import utc_date
 from plotstats.operators.raster import RASTER_BANDS, plot_raster as raster_query
 from plotstats.plans.views import CLEAR_SQL, END, OBS_SQL, PLOTS_SQL, SEASONS, START, observations, plots, table
-from plotstats.schemas import BANDS, MONTHLY_STATS, SEASONAL_STATS
+from plotstats.schemas import BANDS, DIFF_STATS, MONTHLY_STATS, SEASONAL_STATS
 
 
 # --- the same statistics as SQL text ---------------------------------------------------
@@ -103,13 +103,7 @@ SEASON_SQL = (
     )
     + f" from ({level_sql(BANDS, SEASONAL_SQL, SEASONAL_STATS, 'season', True)}) group by id"
 )
-DIFF_BANDS = ("B1", "B2", "B12", "B4", "NDVI", "B3")
-DIFF = [
-    (b.lower(), f)
-    for b in DIFF_BANDS
-    for f in SEASONAL_STATS
-    if not (b in ("B1", "B2", "B3") and f in ("lower_quartile", "upper_quartile", "avg"))
-]
+DIFF = [(b.lower(), f) for b, stats in DIFF_STATS.items() for f in stats]
 MONTHLY_SQL_TEXT = level_sql(BANDS, MONTHLY_SQL, MONTHLY_STATS, "year_month")
 MONTHLY_COLUMNS = [f"{m.lower()}_{f}" for m in [*BANDS, *MONTHLY_SQL] for f in MONTHLY_STATS]
 PLOT_STATS_SQL = level_sql(

@@ -12,6 +12,27 @@ MASKS = ["MSK_CLDPRB", "MSK_SNWPRB"]
 QA_BANDS = ["QA10", "QA20", "QA60"]
 SEASONAL_STATS = ["min", "max", "avg", "stdev", "median", "lower_quartile", "upper_quartile"]
 MONTHLY_STATS = ["min", "max", "avg", "lower_quartile", "upper_quartile", "stdev"]
+# The statistics whose spread over the seasons is a feature, by band.
+_SPREAD = ["min", "max", "stdev", "median"]
+DIFF_STATS = {
+    "B1": _SPREAD,
+    "B2": _SPREAD,
+    "B12": SEASONAL_STATS,
+    "B4": SEASONAL_STATS,
+    "NDVI": SEASONAL_STATS,
+    "B3": _SPREAD,
+}
+# Bands of the features kept for training, and whether their means and quartiles are kept.
+TRAINING_BANDS = {
+    "B1": False,
+    "B2": False,
+    "B3": False,
+    "B4": True,
+    "B5": False,
+    "B9": False,
+    "B12": True,
+    "NDVI": True,
+}
 LANDSAT_BANDS = ["B1", "B2", "B3", "B4", "B5", "B6", "B7", "B10", "B11"]
 LANDSAT_COLUMNS = [*LANDSAT_BANDS, "sr_aerosol", "pixel_qa", "radsat_qa"]
 PLOT_COLUMNS = [

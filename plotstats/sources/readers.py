@@ -35,12 +35,16 @@ def read_csv_below_title(spark: SparkSession, path: str, schema: T.StructType) -
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("_order"),
     )
+    # blank lines do not count, unless one stands in the place of the title
+    in_order = Window.partitionBy(*block).orderBy("_order")
+    lines = lines.withColumn("_first", (F.col("block") == 0) & (F.row_number().over(in_order) == 1))
+    lines = lines.where("_first or trim(value) <> ''").drop("_first")
     sizes = lines.groupBy(*block).agg(F.count(F.lit(1)).alias("_held"))
     upto = F.sum("_held").over(Window.partitionBy("file").orderBy("block"))
     starts = sizes.select(*block, (upto - F.col("_held")).alias("_start"))
-    in_block = F.row_number().over(Window.partitionBy(*block).orderBy("_order")) - 1
+    in_block = F.row_number().over(in_order) - 1
     numbered = lines.withColumn("_in_block", in_block).join(starts, block)
-    records = numbered.withColumn("line", F.col("_start") + F.col("_in_block") - 2).where("line >= 0 and value <> ''")
+    records = numbered.withColumn("line", F.col("_start") + F.col("_in_block") - 2).where("line >= 0")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = records.withColumn("r", F.from_csv("value", fields))
     return parsed.select("r.*", F.col("line").cast("bigint").alias("line"), "file")
@@ -51,5 +55,6 @@ def read_keyed_files(
 ) -> DataFrame:
     """All CSV files of a glob as one table; the groups of `pattern` in the file path become columns."""
     df = spark.read.schema(schema).option("header", True).csv(path)
-    name = F.col("_metadata.file_path")
+    # the path is that of a URI; a plus sign in it is one
+    name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return df.select("*", *[F.regexp_extract(name, pattern, i + 1).alias(k) for i, k in enumerate(keys)])
