@@ -76,11 +76,15 @@ def _count_tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"token": list(counts), "n": list(counts.values())})
 
 
+def _index_rows(rows: dict[str, int]) -> np.ndarray:
+    return np.stack([index_vector(t) for t in rows] + [index_vector(f"<{i}>") for i in range(UNSEEN)])
+
+
 def _collect_contexts(shared):
     def collect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: dict[str, int] = shared.value
         count = len(rows) + UNSEEN
-        index = np.stack([index_vector(t) for t in rows] + [index_vector(f"<{i}>") for i in range(UNSEEN)])
+        index = _index_rows(rows)
         total = np.zeros((count, SIZE), np.float32)
         for frame in frames:
             for text in frame["text"]:
@@ -164,7 +168,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     vectors = np.zeros((len(words) + UNSEEN, SIZE))
     if len(sums):
         vectors[sums["row"].to_numpy()] = np.stack(sums["vector"].to_list())
-    vectors = (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    # frequent neighbours make contexts alike: a token's own index vector tells it from its neighbours
+    vectors = (vectors + _index_rows(words) / ENTRIES**0.5).astype(np.float32)
     features = texts.mapInPandas(_pool_all(spark.sparkContext.broadcast((words, vectors))), "id string, label int, features array<float>")
     table = features.toPandas().sort_values(["id", "label"], kind="stable")
     if not len(table):
