@@ -99,7 +99,8 @@ def _collect_contexts(shared):
                     first = np.flatnonzero(np.diff(own[order], prepend=-1))
                     total[own[order][first]] += np.add.reduceat(near[order], first, axis=0)
         used = np.flatnonzero(np.abs(total).sum(axis=1))
-        yield pd.DataFrame({"row": used, "part": used % 16, "vector": list(total[used])})
+        if len(used):
+            yield pd.DataFrame({"row": used, "part": used % 16, "vector": list(total[used])})
 
     return collect
 
