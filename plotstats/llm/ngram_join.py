@@ -2,9 +2,10 @@
 
 The matrix has a row per document and a column per n-gram hash. Its columns are dealt to blocks, and the number of blocks
 comes from the sizes of the rows: two rows similar enough differ in at most D = (n1 + n2) * (100 - t) / (100 + t) columns,
-so with more than D blocks they agree on a whole block. Only rows that agree on one enter the product; their overlap is
-then accumulated over all columns, and pairs below the bound that follows from their sizes are discarded. Agreeing on a
-block means sharing all of its several n-grams, so passages that many documents share do not bring them together.
+so of B blocks they agree on B - D. Each row leaves out its most frequent blocks, one less than it must share, and rows
+that agree on one of the others enter the product; their overlap is accumulated over all columns, and pairs below the
+bound that follows from their sizes are discarded. Passages that many documents share, and copies edited too much, do not
+bring rows together: their common blocks are the ones left out.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotstats.llm.graph import components
@@ -22,12 +23,10 @@ from plotstats.llm.text import mix, raw, shingle_set, texts_of, word_hashes
 
 #: Upper ends of the size bands, each about half as large again as the one before.
 FIRST_BAND = 8
-#: Blocks beyond the least number, in hundredths of it; rows with more empty blocks than these also use single columns.
-SPARE_PERCENT = 6
+#: Blocks beyond the least number, in hundredths of it. Rows agree on more blocks the more there are, and may leave out more.
+SPARE_PERCENT = 100
 #: The lowest bit of a key tells those of single columns from those of blocks.
 SINGLE = np.uint64(1)
-#: Sizes beyond the last band end in it: more words than any text has.
-LARGEST = 1 << 40
 
 
 def bands(size: int) -> int:
@@ -38,51 +37,43 @@ def bands(size: int) -> int:
     return top
 
 
-def blocks_of(top: int, percent: int) -> tuple[int, int]:
-    """(blocks, spare blocks) of the band of sizes up to `top`."""
-    least = 2 * top * (100 - percent) // (100 + percent) + 1
-    spare = least * SPARE_PERCENT // 100 + 1
-    return least + spare, spare
+def differing(x: int, y: int, percent: int) -> int:
+    """Columns in which similar rows of these sizes differ at most."""
+    return (x + y) * (100 - percent) // (100 + percent)
 
 
-def block_keys(columns: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of a row; two rows with 100 * overlap >= percent * union have one in common.
+def blocks_of(top: int, percent: int) -> int:
+    """Blocks of the band of sizes up to `top`."""
+    least = differing(top, top, percent) + 1
+    return least + least * SPARE_PERCENT // 100
 
-    A row takes part in its own band and, if a larger similar row can be in the next one, in that too. The columns of a block
-    are a range of hashes. Blocks that are empty in both rows agree without saying anything: rows with more of them than there
-    are spare blocks also get the keys of their first n - ceil(n * percent / 100) + 1 columns, which similar rows share.
+
+def block_keys(columns: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a row, and for each how many of the keys of its kind the row may leave out, times two and plus the kind.
+
+    A row takes part in its own band and, if a larger similar row can be in the next one, in that too; these are the kinds.
+    The columns of a block are a range of hashes. Of the blocks with columns at most D differ, so similar rows agree on the
+    rest, `agree` or more. If all rows order keys alike, each can leave out its last `agree - 1` keys of a kind: the first
+    common key is followed by so many others in both. Rows with too many empty blocks for that get the keys of their first
+    n - ceil(n * percent / 100) + 1 columns, which similar rows share, and leave out nothing.
     """
     n = len(columns)
     if not n:
-        return columns
+        return columns, np.zeros(0, np.int64)
     top = bands(n)
     tops = [top] + ([top + top // 2] if n * 100 // percent > top else [])
-    keys = []
+    keys, spared = [], []
     mixed = mix(columns)
-    for top in tops:
-        blocks, spare = blocks_of(top, percent)
-        block = ((columns >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+    for kind, top in enumerate(tops):
+        block = ((columns >> np.uint64(32)) * np.uint64(blocks_of(top, percent))) >> np.uint64(32)
         first = np.flatnonzero(np.diff(block, prepend=np.uint64(1 << 63)) != 0)
         salt = mix(block[first] + np.uint64(top << 24))
         keys.append(mix(np.add.reduceat(mixed, first) + salt) & ~SINGLE)
-        if blocks - len(first) > spare:
+        agree = len(first) - differing(n, min(top, n * 100 // percent), percent)
+        if agree < 1:
             keys.append(mix(mixed[: n - -(-n * percent // 100) + 1] ^ np.uint64(top)) | SINGLE)
-    return np.concatenate(keys)
-
-
-def least_agreement(x: Column, y: Column, percent: int) -> Column:
-    """Blocks with columns on which similar rows of these sizes agree at least.
-
-    Of the least number of blocks and the spare ones, as many differ as columns do at most, and the spare number may be empty.
-    """
-    tops, size = [FIRST_BAND], F.greatest(x, y)
-    while tops[-1] < LARGEST:
-        tops.append(tops[-1] + tops[-1] // 2)
-    blocks = F.lit(blocks_of(tops[-1], percent)[0])
-    for top in reversed(tops[:-1]):
-        least, spare = blocks_of(top, percent)
-        blocks = F.when(size <= top, F.lit(least - spare)).otherwise(blocks)
-    return blocks - F.floor((x + y) * (100 - percent) / (100 + percent))
+        spared.append(np.full(sum(map(len, keys)) - sum(map(len, spared)), 2 * max(agree - 1, 0) + kind))
+    return np.concatenate(keys), np.concatenate(spared)
 
 
 def node_of(columns: np.ndarray) -> int:
@@ -103,16 +94,17 @@ def _profiles(n: int):
 def _keys(n: int, percent: int):
     def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            seen, own, node = set(), [], []
+            seen, own, spared, node = set(), [], [], []
             for _, words in word_hashes(texts_of(frame["text"])):
                 columns = shingle_set(words, n)
                 # rows too small to differ can only be equal
                 if len(columns) * (100 - percent) >= percent and (number := node_of(columns)) not in seen:
                     seen.add(number)
-                    own.append(block_keys(columns, percent))
+                    own.append((found := block_keys(columns, percent))[0])
+                    spared.append(found[1])
                     node.append(np.full(len(own[-1]), number))
             if own:
-                yield pd.DataFrame({"key": np.concatenate(own).view(np.int64), "node": np.concatenate(node)})
+                yield pd.DataFrame({"key": np.concatenate(own).view(np.int64), "node": np.concatenate(node), "spared": np.concatenate(spared)})
 
     return keys
 
@@ -144,12 +136,6 @@ def _product(percent: int):
     return product
 
 
-def agreements() -> list[Column]:
-    """Of the keys that a pair has in common: those of blocks, those of single columns."""
-    single = F.col("key").bitwiseAND(F.lit(1))
-    return [F.sum(1 - single).alias("blocks"), F.sum(single).alias("columns")]
-
-
 class NgramJoin:
     """The join over one table of documents; `percent` is the similarity in hundredths, `n` the words of an n-gram."""
 
@@ -166,24 +152,40 @@ class NgramJoin:
     def links(self) -> DataFrame:
         """(a, b) between sets, enough of them to connect all that are connected, each of them verified.
 
-        Each set is first compared with one set only: of the smallest sets of its blocks, the one it shares most blocks with. What
+        Each set is first compared with one set only: of the heads of its blocks, the one it shares most blocks with. What
         this leaves in different components of a block is then compared pair by pair, so no link between different
         components is lost and the pairs within a group of copies are never listed.
         """
-        keys = self.docs.mapInPandas(_keys(self.n, self.percent), "key long, node long")
-        shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("rows")).where("rows > 1").select("key", "least")
-        members = keys.join(shared, "key").distinct().join(self.sets.select("node", "n"), "node")
-        members = saved(members.select("key", "node", "least", "n"))
-        stars = members.where("node != least").groupBy(F.col("least").alias("a"), F.col("node").alias("b")).agg(*agreements(), F.max("n").alias("nb"))
-        stars = stars.groupBy("b").agg(F.max(F.struct("blocks", "columns", "a", "nb")).alias("best")).select("b", "best.*")
+        members = self._members()
+        stars = members.where("node != top").groupBy(F.col("top").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("blocks"), F.max("n").alias("nb"))
+        stars = stars.groupBy("b").agg(F.max(F.struct("blocks", "a", "nb")).alias("best")).select("b", "best.*")
         stars = self._verified(stars.join(self.sets.select(F.col("node").alias("a"), F.col("n").alias("na")), "a"))
         return stars.union(self._verified(self._across(members, saved(components(stars)))))
 
+    def _members(self) -> DataFrame:
+        """(key, node, n, top): the blocks that sets keep, of those that several have, and the head of each block.
+
+        Sets leave out their most frequent blocks, as many as they may: similar sets still have one in common, and parts that
+        many documents share bring only those together that consist of them. The head of a block is the set whose blocks are the most
+        frequent in all. In a group of edited copies it is one near the original, from which the others are half as
+        far as from each other.
+        """
+        keys = self.docs.mapInPandas(_keys(self.n, self.percent), "key long, node long, spared long")
+        shared = keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
+        several = saved(keys.join(shared, "key").distinct())
+        last = Window.partitionBy("node", F.col("spared") % 2).orderBy(F.desc("rows"), F.desc("key"))
+        kept = several.withColumn("place", F.row_number().over(last)).where("place > shiftright(spared, 1)")
+        weight = several.groupBy("node").agg(F.sum("rows").alias("weight"))
+        kept = kept.select("key", "node").distinct().join(weight, "node").join(self.sets.select("node", "n"), "node")
+        kept = saved(kept)
+        heads = kept.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("head"), F.count("*").alias("rows")).where("rows > 1")
+        return saved(kept.join(heads, "key").select("key", "node", "n", F.col("head.node").alias("top")))
+
     def _across(self, members: DataFrame, groups: DataFrame) -> DataFrame:
         """Pairs that agree on a block from different components. Of each block, only members outside the component of its
-        smallest set are paired with all others, since two members of one component need no link."""
-        labelled = members.join(groups, "node", "left").select("key", "node", "least", "n", F.coalesce("component", "node").alias("label"))
-        head = labelled.where("node = least").select("key", F.col("label").alias("head"))
+        head are paired with all others, since two members of one component need no link."""
+        labelled = members.join(groups, "node", "left").select("key", "node", "top", "n", F.coalesce("component", "node").alias("label"))
+        head = labelled.where("node = top").select("key", F.col("label").alias("head"))
         labelled = saved(labelled.join(head, "key"))
         minor = labelled.where("label != head").select("key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), "head")
         every = labelled.select(F.col("key").alias("_key"), F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"))
@@ -193,15 +195,12 @@ class NgramJoin:
         pairs = minor.join(every, (F.col("key") == F.col("_key")) & (F.col("lx") != F.col("ly")) & once & near)
         first = F.col("x") < F.col("y")
         ends = [F.when(first, F.col(p)).otherwise(F.col(q)).alias(name) for p, q, name in (("x", "y", "a"), ("y", "x", "b"), ("nx", "ny", "na"), ("ny", "nx", "nb"))]
-        pairs = pairs.select("key", *ends)
-        return pairs.groupBy("a", "b").agg(*agreements(), F.max("na").alias("na"), F.max("nb").alias("nb"))
+        return pairs.select(*ends).distinct()
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The (a, b) whose overlap reaches the bound, of `pairs` with their sizes and the blocks and columns they agree on."""
-        # the bounds from the sizes: of the sizes themselves, and of the blocks gathered so far
+        """The (a, b) whose overlap reaches the bound, of `pairs` with their sizes."""
         near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        enough = (F.col("blocks") >= least_agreement(F.col("na"), F.col("nb"), self.percent)) | (F.col("columns") > 0)
-        pairs = saved(pairs.where(near & enough).select("a", "b"))
+        pairs = saved(pairs.where(near).select("a", "b"))
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         names = handy(saved(self.sets.join(nodes, "node", "left_semi").select(F.col("name").alias("id"))))
         rows = self.docs.join(names, "id", "left_semi").mapInPandas(_rows(self.n), "node long, columns binary").dropDuplicates(["node"])
