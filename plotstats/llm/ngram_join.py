@@ -29,6 +29,10 @@ SPARE_PERCENT = 100
 SINGLE = np.uint64(1)
 
 
+#: Parts of the sketch of a row, of 64 bits each.
+SKETCH = [f"s{i}" for i in range(4)]
+
+
 def bands(size: int) -> int:
     """The least upper end of a band that is `size` or more."""
     top = FIRST_BAND
@@ -82,11 +86,18 @@ def node_of(columns: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].view(np.int64))
 
 
+def sketch_of(columns: np.ndarray) -> np.ndarray:
+    """Bits that say whether the number of columns dealt to them is odd; rows differ in as many columns as bits at least."""
+    odd = np.bincount((columns % np.uint64(64 * len(SKETCH))).astype(np.int64), minlength=64 * len(SKETCH)) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _profiles(n: int):
     def profile(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sets = [shingle_set(w, n) for _, w in word_hashes(texts_of(frame["text"]))]
-            yield pd.DataFrame({"id": frame["id"], "n": [len(s) for s in sets], "node": [node_of(s) for s in sets]})
+            sketches = np.array([sketch_of(s) for s in sets]).reshape(len(sets), len(SKETCH))
+            yield pd.DataFrame({"id": frame["id"], "n": [len(s) for s in sets], "node": [node_of(s) for s in sets]} | dict(zip(SKETCH, sketches.T)))
 
     return profile
 
@@ -144,10 +155,10 @@ class NgramJoin:
         self.n, self.percent = n, percent
         self.kind = docs.schema[id_col].dataType.simpleString()
         self.docs = docs.select(F.col(id_col).alias("id"), raw(F.col(text_col)).alias("text"))
-        self.profile = saved(self.docs.mapInPandas(_profiles(n), f"id {self.kind}, n long, node long"))
+        self.profile = saved(self.docs.mapInPandas(_profiles(n), ", ".join([f"id {self.kind}", *(f"{c} long" for c in ["n", "node", *SKETCH])])))
         named = self.profile.where("n > 0 and id is not null")
         #: One row of the matrix per distinct set, named by its smallest document.
-        self.sets = saved(named.groupBy("node").agg(F.min("id").alias("name"), F.max("n").alias("n")))
+        self.sets = saved(named.groupBy("node").agg(F.min("id").alias("name"), *(F.max(c).alias(c) for c in ["n", *SKETCH])))
 
     def links(self) -> DataFrame:
         """(a, b) between sets, enough of them to connect all that are connected, each of them verified.
@@ -183,16 +194,19 @@ class NgramJoin:
 
     def _across(self, members: DataFrame, groups: DataFrame) -> DataFrame:
         """Pairs that agree on a block from different components. Of each block, only members outside the component of its
-        head are paired with all others, since two members of one component need no link."""
+        head are paired with all others, since two members of one component need no link; and of these pairs, only those whose
+        sketches differ in no more bits than similar rows of their sizes do in columns."""
         labelled = members.join(groups, "node", "left").select("key", "node", "top", "n", F.coalesce("component", "node").alias("label"))
         head = labelled.where("node = top").select("key", F.col("label").alias("head"))
-        labelled = saved(labelled.join(head, "key"))
-        minor = labelled.where("label != head").select("key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), "head")
-        every = labelled.select(F.col("key").alias("_key"), F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"))
+        labelled = saved(labelled.join(head, "key").join(self.sets.select("node", *SKETCH), "node"))
+        minor = labelled.where("label != head").select("key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), "head", *(F.col(c).alias(f"x{c}") for c in SKETCH))
+        every = labelled.select(F.col("key").alias("_key"), F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"), *(F.col(c).alias(f"y{c}") for c in SKETCH))
         # a pair of two minor members comes once, from its smaller side
         once = (F.col("ly") == F.col("head")) | (F.col("x") < F.col("y"))
         near = F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * self.percent
-        pairs = minor.join(every, (F.col("key") == F.col("_key")) & (F.col("lx") != F.col("ly")) & once & near)
+        apart = sum((F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in SKETCH), F.lit(0))
+        few = apart * (100 + self.percent) <= (F.col("nx") + F.col("ny")) * (100 - self.percent)
+        pairs = minor.join(every, (F.col("key") == F.col("_key")) & (F.col("lx") != F.col("ly")) & once & near & few)
         first = F.col("x") < F.col("y")
         ends = [F.when(first, F.col(p)).otherwise(F.col(q)).alias(name) for p, q, name in (("x", "y", "a"), ("y", "x", "b"), ("nx", "ny", "na"), ("ny", "nx", "nb"))]
         return pairs.select(*ends).distinct()
