@@ -89,7 +89,7 @@ def test_similar_rows_share_a_key_that_both_keep():
             salt = np.uint64(draw.integers(0, 1 << 62))
             order = lambda key: max(int(ngram_join.mix(np.array([key ^ salt]))[0] >> np.uint64(32)) - (1 << 31), 0)
             assert kept(a, percent, order) & kept(b, percent, order)
-            bits = int(np.bitwise_count(ngram_join.sketch_of(a) ^ ngram_join.sketch_of(b)).sum())
+            bits = int(np.bitwise_count((ngram_join.sketch_of(a) ^ ngram_join.sketch_of(b)).view(np.uint64)).sum())
             assert bits <= len(np.setxor1d(a, b)) <= ngram_join.differing(len(a), len(b), percent)
             met += 1
     assert met > 100
