@@ -24,7 +24,7 @@ from plotstats.llm.text import mix, raw, shingle_set, texts_of, word_hashes
 #: Upper ends of the size bands, each about half as large again as the one before.
 FIRST_BAND = 8
 #: Blocks beyond the least number, in hundredths of it. Rows agree on more blocks the more there are, and may leave out more.
-SPARE_PERCENT = 100
+SPARE_PERCENT = 40
 #: The lowest bit of a key tells those of single columns from those of blocks.
 SINGLE = np.uint64(1)
 
