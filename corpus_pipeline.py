@@ -19,7 +19,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with one occurrence of each group of like lines in all documents. A document that loses all its words goes."""
-    done = lines.LineDedup(docs, "doc_id", "text").cleaned()
+    done = lines.LineDedup(docs, "doc_id", "text", least_exact=1).cleaned()
     emptied = (F.col("_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     done = done.where(~F.coalesce(emptied, F.lit(False)))
     return done.withColumn("n_chars", F.when(F.col("_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)

@@ -47,7 +47,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return lines.dedup(table(spark, sf_dir, "documents"), "doc_id", "text", least_exact=1)
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

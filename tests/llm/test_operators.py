@@ -257,6 +257,12 @@ def test_line_dedup(spark, documents, prose):
     assert lines.dedup(documents([]), "doc_id", "text").collect() == []
 
 
+def test_short_lines_are_compared_exactly(documents):
+    rows = [(1, "les\nand ornd\n長い行はここにある\n--", "en", "s"), (2, "LES!\nand ornd\nand arnd\n長い行はここにある\n--\n", "en", "s")]
+    out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in lines.dedup(documents(rows), "doc_id", "text", least_exact=1).collect()}
+    assert out == {1: (rows[0][1], 0), 2: ("and arnd\n--\n", 3)}
+
+
 def test_simhash_bits(spark, documents, prose):
     rows = [(i, " ".join(prose(i, 5 + 7 * i)), "en", "s") for i in range(20)]
     job = lines.LineDedup(documents(rows), "doc_id", "text")
