@@ -263,6 +263,23 @@ def test_short_lines_are_compared_exactly(documents):
     assert out == {1: (rows[0][1], 0), 2: ("and arnd\n--\n", 3)}
 
 
+@pytest.mark.parametrize("n", [10, 20, 30, 50, 100])
+def test_every_line_within_the_edit_rule_is_found(documents, prose, n):
+    rows = []
+    for i in range(25):
+        words = prose(9000 + 100 * n + i, n)
+        changed, shorter, far = list(words), list(words), list(words)
+        for k in range(n // 10):
+            changed[(7 * i + 10 * k + 3 * (k % 2)) % n] = f"new{k}"
+        for k in range(n // 10):
+            del shorter[(5 * i + 9 * k) % len(shorter)]
+        for k in range(n // 5 + 1):
+            far[(7 * i + 4 * k) % n] = f"far{k}"
+        rows += [(10 * i + j, " ".join(w), "en", "s") for j, w in enumerate([words, changed, shorter, far])]
+    out = {r["doc_id"]: r["n_removed"] for r in lines.dedup(documents(rows), "doc_id", "text").collect()}
+    assert [out[10 * i + j] for i in range(25) for j in range(4)] == [0, 1, 1, 0] * 25
+
+
 def test_simhash_bits(spark, documents, prose):
     rows = [(i, " ".join(prose(i, 5 + 7 * i)), "en", "s") for i in range(20)]
     job = lines.LineDedup(documents(rows), "doc_id", "text")
