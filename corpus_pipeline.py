@@ -33,11 +33,12 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Rows that hold no benchmark item, with or without an identifier."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.leaks(docs, items, "doc_id", "text", "item_id", "text")
-    leaking = handy(saved(found.select("doc_id").distinct()))
-    return docs.join(leaking, "doc_id", "left_anti").select(docs.columns)
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = decontaminate.leaks(keyed, items, "_key", "text", "item_id", "text")
+    leaking = handy(saved(found.select("_key").distinct()))
+    return keyed.join(leaking, "_key", "left_anti").select(docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

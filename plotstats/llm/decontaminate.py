@@ -16,7 +16,8 @@ from plotstats.llm.text import mix, raw, texts_of, word_hashes
 K1, B = 1.2, 0.75
 #: A passage is retrieved for an item at this share of the score that the item's own text would get.
 RETRIEVE = 0.6
-#: The question and the answer of an item must each have this share of their words in runs of RUN words that the passage has.
+#: The question and the answer of an item must each have this share of their words in runs of RUN words that the passage has;
+#: of an item that has no answer column, the item as a whole is enough.
 OVERLAP = 0.8
 RUN = 5
 #: The answer: the last so many words of an item that has no answer column, in hundredths of its words.
@@ -43,29 +44,30 @@ class Index:
     best: np.ndarray
     block_best: np.ndarray
     impact: np.ndarray
-    parts: list[tuple[np.ndarray, np.ndarray]]
+    parts: list[tuple[np.ndarray, np.ndarray, bool]]
 
 
 def words_of(texts: list[bytes]) -> list[np.ndarray]:
     return [h for _, h in word_hashes([t.translate(PLAIN) for t in texts])]
 
 
-def item_words(frame: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Question and answer of each item as word hashes. Without an answer column, the last words are the answer."""
+def item_words(frame: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+    """Question and answer of each item as word hashes, and whether it has an answer. Without one, the last words are the answer."""
     questions = words_of(texts_of(frame["question"]))
     answers = words_of(texts_of(frame["answer"]))
     out = []
     for question, answer in zip(questions, answers):
-        if not len(answer):
+        given = len(answer) > 0
+        if not given:
             cut = len(question) - len(question) * ANSWER_PERCENT // 100
             question, answer = question[:cut], question[cut:]
-        out.append((question, answer))
+        out.append((question, answer, given))
     return out
 
 
 def _count_items(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for question, answer in item_words(frame):
+        for question, answer, _ in item_words(frame):
             own = np.concatenate([question, answer])
             terms = np.unique(own)
             yield pd.DataFrame({"term": terms.view(np.int64), "size": len(own) * (np.arange(len(terms)) == 0)})
@@ -74,7 +76,7 @@ def _count_items(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def build(frame: pd.DataFrame, frequency: dict[int, int], count: int, mean: float) -> list[Index]:
     """Indexes of the items by length: up to LEAST_STEP words, up to twice that, and so on. Items without words are left out."""
     words = item_words(frame)
-    sizes = np.array([len(q) + len(a) for q, a in words])
+    sizes = np.array([len(q) + len(a) for q, a, _ in words])
     out, step = [], LEAST_STEP
     while (sizes > step // 2 if step > LEAST_STEP else sizes > 0).any():
         low = step // 2 if step > LEAST_STEP else 0
@@ -86,7 +88,7 @@ def build(frame: pd.DataFrame, frequency: dict[int, int], count: int, mean: floa
 
 
 def _index(step: int, items, parts, frequency: dict[int, int], count: int, mean: float) -> Index:
-    whole = [np.concatenate(p) for p in parts]
+    whole = [np.concatenate(p[:2]) for p in parts]
     terms = np.unique(np.concatenate(whole))
     found = np.array([frequency[int(t)] for t in terms.view(np.int64)], float)
     weight = np.log(1 + (count - found + 0.5) / (found + 0.5))
@@ -148,6 +150,14 @@ def covered(part: np.ndarray, passage: np.ndarray) -> float:
     return float(inside.mean())
 
 
+def held(item: tuple[np.ndarray, np.ndarray, bool], passage: np.ndarray) -> tuple[float, float, bool]:
+    """Overlaps of question and answer, and whether the passage holds the item: both of them, or all of an item without an answer."""
+    *parts, given = item
+    question, answer = (covered(p, passage) for p in parts)
+    found = min(question, answer) >= OVERLAP or not given and covered(np.concatenate(parts), passage) >= OVERLAP
+    return question, answer, found
+
+
 def _runs(words: np.ndarray, width: int) -> np.ndarray:
     total = np.zeros(len(words) - width + 1, np.uint64)
     for i in range(width):
@@ -167,8 +177,8 @@ def _matcher(shared):
                     for begin in range(0, len(own), STEPS * index.step):
                         for step, item, score in search(index, at[begin : begin + (STEPS + 1) * index.step]):
                             passage = own[begin + step * index.step : begin + (step + 2) * index.step]
-                            question, answer = (covered(p, passage) for p in index.parts[item])
-                            if question >= OVERLAP and answer >= OVERLAP:
+                            question, answer, found = held(index.parts[item], passage)
+                            if found:
                                 rows.append((ids[number], index.items[item], score, question, answer))
             yield pd.DataFrame(rows, columns=["id", "item", "score", "question_overlap", "answer_overlap"])
 
@@ -180,7 +190,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_co
 
     Every passage of every document is searched; passages overlap by half. Items are indexed in parts of about INDEX_BYTES of
     text with the word frequencies of all items, each part in a pass of its own, so any number fits. Null and empty
-    texts hold nothing, items without words are never found. Rows without an identifier are searched but can't be named
+    texts hold nothing, items without words are never found. An item without an answer is also held by a passage with OVERLAP of
+    all its words, so `answer_overlap` of its last words may be less. Rows without an identifier are searched but can't be named
     and are left out; repeated rows give one result.
     """
     spark = docs.sparkSession

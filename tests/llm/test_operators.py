@@ -465,6 +465,25 @@ def share(part, words):
     return len(inside) / len(part)
 
 
+def test_items_without_answer_with_edits_anywhere_and_cut_ends(spark, documents, prose):
+    item = prose(4000, 38)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    texts = [[*item[:at], "odd", *item[at + 1 :]] for at in range(38)] + [item[:35], item[3:], item[2:36], item[:20]]
+    rows = [(i, " ".join([*prose(5000 + i, 40), *t, *prose(6000 + i, 40)]), "en", "s") for i, t in enumerate(texts)]
+    found = {r["doc_id"] for r in decontaminate.leaks(documents(rows), bench, "doc_id", "text", "item_id", "text").collect()}
+    assert found == set(range(41))
+
+
+def test_rows_without_identifier_are_decontaminated(spark, documents, prose):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("text is not null").first()["text"]
+    rows = [(None, f"{' '.join(prose(1, 30))} {item}", "en", "s"), (None, " ".join(prose(2, 30)), "en", "s"), (1, item, "en", "s"), (1, " ".join(prose(3, 30)), "en", "s")]
+    left = corpus_pipeline.without_benchmark(spark, documents(rows), sf).collect()
+    assert sorted(r["text"] for r in left) == sorted([rows[1][1], rows[3][1]])
+
+
 def test_parts_of_the_index_give_the_same(spark, documents, prose, monkeypatch):
     items = spark.createDataFrame([(i, " ".join(prose(i, 20))) for i in range(40)], "item_id long, text string")
     docs = documents([(i, " ".join([*prose(i, 20), *prose(100 + i, 40)]), "en", "s") for i in range(60)])
