@@ -131,21 +131,24 @@ def _hot_stats(
     simple = {k: v for k, v in wanted.items() if v[0] not in QUARTERS and v[0] != "mode"}
     result = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[STATS[f](x).alias(k) for k, (f, x) in simple.items()])
 
-    def long_form(stats: set[str]) -> DataFrame | None:
-        columns = sorted({x for f, x in wanted.values() if f in stats})
-        if not columns:
-            return None
-        pairs = F.array(*[F.struct(F.lit(x).alias("_measure"), F.col(x).cast("double").alias("_x")) for x in columns])
-        return tally(rows.select(*keys, F.inline(pairs)), [*keys, "_measure"], F.col("_x"))
+    def long_forms(stats: set[str]) -> list[tuple[set[str], DataFrame]]:
+        """The measures and their tally for each column type: values are never cast, so they are compared as in groups of ordinary size."""
+        kinds: dict[str, list[str]] = {}
+        for x in sorted({x for f, x in wanted.values() if f in stats}):
+            kinds.setdefault(rows.schema[x].dataType.simpleString(), []).append(x)
+        tallies = []
+        for columns in kinds.values():
+            pairs = F.array(*[F.struct(F.lit(x).alias("_measure"), F.col(x).alias("_x")) for x in columns])
+            tallies.append((set(columns), tally(rows.select(*keys, F.inline(pairs)), [*keys, "_measure"], F.col("_x"))))
+        return tallies
 
     def side_by_side(long: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
         wide = long.groupBy(*keys).agg(*[F.max(c).alias(k) for k, c in columns.items()])
         # A group without any value of any measure is absent from `long`.
         return join_groups(result, wide, keys, "left")
 
-    counts = long_form(set(QUARTERS))
-    if counts is not None:
-        used = {f for f, _ in wanted.values() if f in QUARTERS}
+    for columns, counts in long_forms(set(QUARTERS)):
+        used = {f for f, x in wanted.values() if f in QUARTERS and x in columns}
         ranks = {f"{f}_{side}": _ranks(QUARTERS[f])[side] for f in used for side in (0, 1)}
         picked = group_ranks(counts, [*keys, "_measure"], ranks)
         result = side_by_side(
@@ -153,11 +156,10 @@ def _hot_stats(
             {
                 k: F.when(F.col("_measure") == x, (F.col(f"{f}_0") + F.col(f"{f}_1")) / 2)
                 for k, (f, x) in wanted.items()
-                if f in QUARTERS
+                if f in QUARTERS and x in columns
             },
         )
-    counts = long_form({"mode"})
-    if counts is not None:
+    for columns, counts in long_forms({"mode"}):
         tops = (
             counts.groupBy(*keys, "_measure", "n")
             .agg(F.count(F.lit(1)).alias("ties"), F.min("value").alias("value"))
@@ -169,7 +171,7 @@ def _hot_stats(
             {
                 k: F.when((F.col("_measure") == x) & (F.col("top.ties") == 1), F.col("top.value"))
                 for k, (f, x) in wanted.items()
-                if f == "mode"
+                if f == "mode" and x in columns
             },
         )
     return result.select(*[F.col(c).cast(like.schema[c].dataType) for c in like.columns])
