@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotstats.llm import bands, decontaminate, language, licences, lines, mixing, ngram_join, quality, redirects, weighting
+from plotstats.llm import bands, centroids, decontaminate, language, licences, lines, mixing, ngram_join, quality, redirects, strata, weighting
 from plotstats.llm.text import remainder
 
 RULES = [
@@ -73,6 +73,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strata.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -192,6 +200,68 @@ from places p left join met_by m on m.doc_id = p.doc_id
 """
 
 
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+OP11_SQL = f"""
+with docs as (
+  select row_number() over () as r, doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{_TERM}') as w from documents
+), sized as (
+  select r, doc_id, w, len(w) as n from docs where len(w) > 0
+), facts as (
+  select count(*)::bigint as big_n, sum(n)::bigint as big_l from sized
+), items as (
+  select row_number() over () as q, item_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{_TERM}') as w from benchmark
+), asked as (
+  select q, t, count(*)::bigint as times from (select q, unnest(w) as t from items) group by all
+), counted as (
+  select r, t, count(*)::bigint as tf from (select r, unnest(w) as t from sized) where t in (select t from asked) group by all
+), weights as (
+  select t, floor(1000 * ln((2 * big_n + 2)::double / (2 * count(*) + 1)::double))::bigint as weight from counted, facts group by t, big_n
+), normal as (
+  select r, doc_id, (25 + (75 * n * big_n) // big_l)::bigint as m from sized, facts
+), scored as (
+  select a.q, c.r, sum(a.times * w.weight * ((1000000000 * c.tf) // (1000 * c.tf + 8 * d.m)))::bigint as score
+  from asked a join counted c on c.t = a.t join weights w on w.t = a.t join normal d on d.r = c.r group by all
+), ranked as (
+  select s.q, d.doc_id, s.score, row_number() over (partition by s.q order by s.score desc, d.doc_id nulls last) as rank
+  from scored s join normal d on d.r = s.r where s.score > 0
+)
+select i.item_id, cast(r.rank as integer) as rank, r.doc_id, r.score from ranked r join items i on i.q = r.q where r.rank <= 10
+"""
+
+
+def _clusters_sql() -> str:
+    d = centroids.DIMENSIONS
+    steps = []
+    for i in range(centroids.ROUNDS + 1):
+        steps.append(f"""own{i} as materialized (
+  select r, v, k, dist from (
+    select r, v, c.k, list_sum(list_transform(list_zip(v, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as dist,
+      row_number() over (partition by r order by list_sum(list_transform(list_zip(v, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c.k) as place
+    from vectors, c{i} c) where place = 1
+)""")
+        if i < centroids.ROUNDS:
+            # a whole remainder is taken off first, as the mean is rounded down
+            means = ", ".join(f"cast((sum(v[{j}]) - ((sum(v[{j}]) % count(*)) + count(*)) % count(*)) // count(*) as bigint)" for j in range(1, d + 1))
+            steps.append(f"""c{i + 1} as materialized (
+  select c.k, coalesce(m.c, c.c) as c from c{i} c left join (select k, [{means}] as c from own{i} group by k) m on m.k = c.k
+)""")
+    return f"""
+with vectors as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(256 * x::double) as bigint)) as v from embeddings
+  where len(embedding) = {d} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {d}
+), c0 as materialized (
+  select row_number() over (order by sha256('2:' || vec_id), v) - 1 as k, v as c from vectors
+  qualify row_number() over (order by sha256('2:' || vec_id), v) <= {centroids.CENTROIDS}
+), {', '.join(steps)}, sums as (
+  select k, sum(dist)::bigint as cluster_inertia from own{centroids.ROUNDS} group by k
+)
+select v.vec_id, cast(o.k as integer) as cluster, o.dist::bigint as distance, s.cluster_inertia, (select sum(dist)::bigint from own{centroids.ROUNDS}) as inertia,
+  sha256(array_to_string(c.c, ',')) as centroid_sha256
+from own{centroids.ROUNDS} o join vectors v on v.r = o.r join sums s on s.k = o.k join c{centroids.ROUNDS} c on c.k = o.k
+"""
+
+
 QUERIES = {
     "op1_ngram_join": (op1_ngram_join, OP1_SQL),
     "op2_quality_classifier": (op2_quality_classifier, None),
@@ -203,5 +273,7 @@ QUERIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_license_scan": (op9_license_scan, _licence_sql()),
     "op10_decontamination": (op10_decontamination, None),
+    "op11_ranked_search": (op11_ranked_search, OP11_SQL),
+    "op12_centroid_clustering": (op12_centroid_clustering, _clusters_sql()),
     "pipeline": (pipeline, None),
 }
