@@ -141,7 +141,7 @@ def test_clusters(spark, spread):
 
 def test_clusters_of_few_and_large_vectors(spark):
     few = [(i, [float(i * j) for j in range(64)]) for i in range(3)]
-    large = [(i, [draw * 1e12 for draw in np.random.default_rng(i).normal(size=64)]) for i in range(60)]
+    large = [(i, [float(x) * 1e12 for x in np.random.default_rng(i).normal(size=64)]) for i in range(60)]
     for rows in (few, large):
         table = spark.createDataFrame([(i, v, "x", "x", "x", "x") for i, v in rows], VECTORS)
         found = centroids.clusters(table, "vec_id", "embedding").select("vec_id", "cluster", "centroid_sha256")
