@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotstats.llm import bands, centroids, decontaminate, language, licences, lines, mixing, ngram_join, quality, redirects, strata, weighting
+from plotstats.llm import bands, boilerplate, centroids, decontaminate, language, licences, lines, mixing, ngram_join, quality, redirects, strata, weighting
 from plotstats.llm.text import remainder
 
 RULES = [
@@ -81,6 +81,10 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.main_text(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -275,5 +279,6 @@ QUERIES = {
     "op10_decontamination": (op10_decontamination, None),
     "op11_ranked_search": (op11_ranked_search, OP11_SQL),
     "op12_centroid_clustering": (op12_centroid_clustering, _clusters_sql()),
+    "op13_html_extraction": (op13_html_extraction, None),
     "pipeline": (pipeline, None),
 }

@@ -35,9 +35,9 @@ from plotstats.llm.text import raw
 #: Bytes of items' texts that are searched at once; their words and weights are sent to every executor.
 ITEM_BYTES = 32 << 20
 #: Postings of a task, roughly; the number of tasks follows from it and the input.
-TASK_POSTINGS = 4_000_000
+TASK_POSTINGS = 2_000_000
 #: Postings that a task holds at a time.
-BLOCK_POSTINGS = 2_000_000
+BLOCK_POSTINGS = 250_000
 #: Strata visited before the first threshold is known, and the factor by which later visits grow.
 FIRST_VISIT, GROWTH = 16, 4
 
