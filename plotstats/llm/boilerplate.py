@@ -7,14 +7,14 @@ a passage is cut alike wherever it stands. Entries that are equal are counted by
 make up the long repeated substrings, of LEAST_WORDS words and more.
 
 A substring is boilerplate if it stands on enough pages of its host: in a page that names its article itself (an article or main
-element) on more than half of them and on five, as a passage that some articles share is part of them; in any other page on a tenth of
+element) on more than half of them and on five, as a passage that some articles share is part of them; in any other page on three tenths of
 them and on two. So many pages must also differ in content: pages are told apart by 64 classes of the hash of their whole text, and a
 group of copies of one page is one class. A page of which mostly copies would be left over is a copy itself and keeps its text.
 
 Before this, `markup` drops what the markup itself names as menu, header, footer, sidebar, notice, advert, form, script,
 style or comments.
 
-Pages are read twice and never shuffled. Per host at most ten times the mean number of positions of a page can be boilerplate; these are
+Pages are read twice and never shuffled. Per host at most four times the mean number of positions of a page can be boilerplate; these are
 sent to all executors up to BROADCAST_BYTES, else joined by host.
 
 Defined results: a null or empty page has the empty text; a page without url or host is only judged by its markup; repeated
@@ -41,7 +41,7 @@ REACH = 4
 #: Pages that name their article: on more than this share of the host's pages, and on so many.
 NAMED_SHARE, NAMED_PAGES = 0.5, 5
 #: Other pages.
-OTHER_SHARE, OTHER_PAGES = 0.1, 2
+OTHER_SHARE, OTHER_PAGES = 0.3, 2
 #: A page that names its article keeps its text if more than this share of its words would go; another if this share would.
 NAMED_MOST, OTHER_MOST = 0.5, 0.9
 #: Boilerplate positions are sent to every executor up to so many bytes.
@@ -62,12 +62,18 @@ def cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     words = next(word_hashes(["\n".join(texts).encode("utf-8", "replace")]))[1]
     first = np.cumsum(sizes) - sizes
     n = len(words)
-    pairs = mix(words + np.roll(words, -1) * _STEP)
-    smallest = pairs.copy()
+    following = np.roll(words, -1)
+    following[np.append(first[1:], n) - 1] = 0
+    pairs = mix(words + following * _STEP)
+    # blocks are set apart, so that none has a say in another's positions
+    at = np.arange(n) + REACH * np.repeat(np.arange(len(sizes)), sizes)
+    apart = np.full(n + REACH * len(sizes), np.iinfo(np.uint64).max, np.uint64)
+    apart[at] = pairs
+    smallest = apart.copy()
     for shift in range(1, REACH + 1):
-        smallest[shift:] = np.minimum(smallest[shift:], pairs[:-shift])
-        smallest[:-shift] = np.minimum(smallest[:-shift], pairs[shift:])
-    chosen = pairs == smallest
+        smallest[shift:] = np.minimum(smallest[shift:], apart[:-shift])
+        smallest[:-shift] = np.minimum(smallest[:-shift], apart[shift:])
+    chosen = pairs == smallest[at]
     chosen[first] = True
     start = np.flatnonzero(chosen)
     end = np.append(start[1:], n)
@@ -126,7 +132,7 @@ def repeated(pages: DataFrame) -> DataFrame:
 
     common = on(NAMED_SHARE, NAMED_PAGES) & (F.col("n") > F.col("pages") * NAMED_SHARE)
     found = both.where(on(OTHER_SHARE, OTHER_PAGES)).select("host", "key", common.alias("common"))
-    # bounded by the mean number of positions of a page of the host, ten times
+    # bounded by the mean number of positions of a page of the host, four times
     return found.groupBy("host").agg(F.collect_list(F.when(F.col("common"), F.col("key"))).alias("common"), F.collect_list("key").alias("frequent"))
 
 

@@ -122,7 +122,7 @@ def blocks(page: str) -> list[Block]:
             if tag in NESTING or tag == "a" or (stack and any(t == tag for t, _ in stack)):
                 at = opened(tag)
                 if at >= 0:
-                    if stack[at][1]:
+                    if any(kind and kind != "link" for _, kind in stack[at:]):
                         flush()
                     close(at)
             continue

@@ -2,7 +2,7 @@
 
 import random
 import time
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -58,16 +58,14 @@ def plain(rows):
     parsed = {i: (url.split("/")[2], *markup.article(h)) for i, url, h in rows}
     cuts = {}
     for i, (_, blocks, _) in parsed.items():
-        words = [w for b in blocks for w in b.split()]
-        codes = [int(hash_words(w.encode() + b" ")[0][0]) for w in words]
-        pairs = [int(boilerplate.mix(np.array([(codes[j] + codes[(j + 1) % len(codes)] * int(boilerplate._STEP)) % 2**64], np.uint64))[0]) for j in range(len(codes))]
-        starts, at = set(), 0
-        for b in blocks:
-            starts.add(at)
-            at += len(b.split())
-        reach = boilerplate.REACH
-        chosen = [j for j in range(len(words)) if j in starts or pairs[j] == min(pairs[max(0, j - reach) : j + reach + 1])]
-        cuts[i] = [(a, z, tuple(w.lower() for w in words[a:z])) for a, z in zip(chosen, [*chosen[1:], len(words)], strict=True)]
+        cuts[i], at = [], 0
+        for words in (b.split() for b in blocks):
+            codes = [int(hash_words(w.encode() + b" ")[0][0]) for w in words] + [0]
+            pairs = [int(boilerplate.mix(np.array([(x + y * int(boilerplate._STEP)) % 2**64], np.uint64))[0]) for x, y in zip(codes, codes[1:], strict=False)]
+            reach = boilerplate.REACH
+            chosen = [j for j in range(len(words)) if j == 0 or pairs[j] == min(pairs[max(0, j - reach) : j + reach + 1])]
+            cuts[i] += [(at + a, at + z, tuple(w.lower() for w in words[a:z])) for a, z in zip(chosen, [*chosen[1:], len(words)], strict=True)]
+            at += len(words)
     seen, whole = defaultdict(set), defaultdict(set)
     for i, (host, blocks, _) in parsed.items():
         whole[host].add(i)
@@ -84,9 +82,9 @@ def plain(rows):
             on = seen[host, piece]
             return len(on) >= max(least, share * pages_) and len({content[j] for j in on}) >= max(least, share * contents)
 
-        rules = [(lambda p: common(p, 0.1, 2) and common(p, 0.5, 5) and 2 * len(seen[host, p]) > pages_, 0.5 if named else 0.9)]
+        rules = [(lambda p: common(p, 0.5, 5) and 2 * len(seen[host, p]) > pages_, 0.5 if named else 0.9)]
         if not named:
-            rules.insert(0, (lambda p: common(p, 0.1, 2), 0.9))
+            rules.insert(0, (lambda p: common(p, 0.3, 2), 0.9))
         gone = set()
         for rule, most in rules:
             gone, run = set(), []
@@ -141,9 +139,9 @@ def test_copies_and_shared_passages_stay(pages, prose):
     found = texts(boilerplate.main_text(pages(rows + copies + near), "page_id", "url", "html"))
     assert found == plain(rows + copies + near)
     notice = " ".join(prose(903, 14))
-    assert all(found[i] in (want[0], want[0].replace("\n", f"\n{notice}\n", 1)) for i, *_ in copies)
+    assert all(found[i] in (want[2000], want[2000].replace("\n", f"\n{notice}\n", 1)) for i, *_ in copies)
     for i, *_ in near:
-        assert set(want[1].split("\n")) <= set(found[i].split("\n"))
+        assert set(want[2001].split("\n")) <= set(found[i].split("\n"))
 
 
 def test_partly_repeated_block_keeps_its_own_words(pages, prose):
@@ -177,6 +175,7 @@ def test_odd_pages(spark, pages, prose):
     ]
     frame = boilerplate.main_text(pages(rows), "page_id", "url", "html")
     assert frame.columns == ["page_id", "url", "text", "n_chars"]
-    found = sorted(((r["page_id"] or 0, r["text"], r["n_chars"]) for r in frame.collect()))
-    assert found == sorted([(1, "", 0), (2, "", 0), (3, "x", 1), (3, "x", 1), (4, "y", 1), (0, "z", 1), (5, long, len(long)), (6, "<a" * 5000, 10000), (7, "\x00 �".strip(), 3)], key=lambda x: x) or found[-1][0] == 7
+    found = Counter((r["page_id"], r["text"], r["n_chars"]) for r in frame.collect())
+    want = [(1, "", 0), (2, "", 0), (3, "x", 1), (3, "x", 1), (4, "y", 1), (None, "z", 1), (5, long, len(long)), (6, "<a" * 5000, 10000)]
+    assert found - Counter({(7, "\x00 \ufffd", 3): 1, (7, "\x00\n\ufffd", 3): 1}) == Counter(want)
     assert boilerplate.main_text(pages([]), "page_id", "url", "html").count() == 0
