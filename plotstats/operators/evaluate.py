@@ -45,7 +45,7 @@ def mae(df: DataFrame) -> DataFrame:
 def error_deciles(df: DataFrame) -> DataFrame:
     """Exact order statistics of the absolute error: percent 0, 10, ..., 90 (50 is the median)."""
     counts = tally(df, [], F.abs(F.col("diff")))
-    picked = global_ranks(counts, lambda n: {str(i): n * i // 100 + 1 for i in range(0, 100, 10)})
+    picked = global_ranks(counts, lambda n: {str(i): F.floor(n * i / 100) + 1 for i in range(0, 100, 10)})
     return picked.select(F.col("name").cast("int").alias("percent"), F.col("value").alias("abs_error"))
 
 

@@ -22,12 +22,11 @@ def row_slice(df: DataFrame, key: str, index: int, n: int) -> DataFrame:
 
     Looks up the first and the last key of the slice instead of numbering all rows.
     """
-    def bounds(total: int) -> Mapping[str, int]:
-        first = index * n + 1
-        return {"first": first, "last": min(total, (index + 1) * n)} if first <= total else {}
+    def bounds(total: Column) -> Mapping[str, Column]:
+        return {"first": F.lit(index * n + 1), "last": F.least(total, F.lit((index + 1) * n))}
 
     ends = {r["name"]: r["value"] for r in global_ranks(tally(df, [], F.col(key)), bounds).collect()}
-    if not ends:
+    if "first" not in ends:
         return df.where(F.lit(False))
     return df.where(F.col(key).between(ends["first"], ends["last"]))
 

@@ -13,9 +13,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Order statistics keep one buffer per group; the default of 128 groups
-    # falls back to sorting far too early for plots of a few dozen pixels.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -25,3 +25,11 @@ def every_group_hot(spark):
     spark.conf.set("plotstats.hot.rows", "3")
     yield
     spark.conf.unset("plotstats.hot.rows")
+
+
+@pytest.fixture
+def small_sorts(spark):
+    """No task sorts more than 50 values of a group: intervals are narrowed several times."""
+    spark.conf.set("plotstats.sort.rows", "50")
+    yield
+    spark.conf.unset("plotstats.sort.rows")

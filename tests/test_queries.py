@@ -32,6 +32,12 @@ def test_query_with_large_groups(spark, con, every_group_hot, name):
     assert message is None
 
 
+@pytest.mark.parametrize("name", ["agg_median", "agg_lower_quartile", "error_deciles", "row_slice", "stratify", "nearest_median_sd"])
+def test_query_with_narrow_sorts(spark, con, every_group_hot, small_sorts, name):
+    message, *_ = differences(spark, con, name, queries()[name], CHECKS[name], SF)
+    assert message is None
+
+
 def test_models_beat_the_mean(spark):
     row = queries()["ml_gbt"](spark, SF).first()
     assert row["r2"] > 0.5 and row["n"] > 0
