@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotstats.functions.math import round_even
-from plotstats.operators.aggregates import grouped_stats
+from plotstats.operators.aggregates import grouped_stats, measured, tallied_stats
 from plotstats.operators.indices import MONTHLY_INDICES, SEASONAL_INDICES
 from plotstats.operators.observations import Season, clear_sky, in_days, with_season, year_month
 from plotstats.operators.skew import hot_groups, split_hot
@@ -22,6 +22,20 @@ DIGITS = 5
 Indices = Mapping[str, tuple[Callable[..., Column], tuple[str, ...]]]
 
 
+def _level_columns(bands: Sequence[str], indices: Indices, scene_class: bool) -> tuple[list[str], list[str]]:
+    """Bands that the medians of a pixel need, and the scene class if it is wanted."""
+    return list(dict.fromkeys([*bands, *[b for _, read in indices.values() for b in read]])), ["SCL"] if scene_class else []
+
+
+def _with_indices(medians: DataFrame, bands: Sequence[str], indices: Indices, extra: Sequence[str], scl: Sequence[str]) -> DataFrame:
+    derived = {f"{name}_m": f(*[F.col(f"{b}_m") for b in read]) for name, (f, read) in indices.items()}
+    return medians.withColumns(derived).select(*PIXEL, *extra, *[f"{c}_m" for c in [*bands, *indices, *scl]])
+
+
+def _pixel_stats(needed: Sequence[str], scl: Sequence[str]) -> dict[str, tuple[str, str]]:
+    return {f"{b}_m": ("median", b) for b in needed} | {f"{c}_m": ("mode", c) for c in scl}
+
+
 def pixel_medians(
     obs: DataFrame,
     bands: Sequence[str],
@@ -31,13 +45,24 @@ def pixel_medians(
     check_skew: bool = True,
 ) -> DataFrame:
     """Median of each band per pixel (and `extra` keys), and the indices of these medians."""
-    needed = list(dict.fromkeys([*bands, *[b for _, read in indices.values() for b in read]]))
-    scl = ["SCL"] if scene_class else []
-    wanted = {f"{b}_m": ("median", b) for b in needed} | {f"{c}_m": ("mode", c) for c in scl}
+    needed, scl = _level_columns(bands, indices, scene_class)
     rows = obs.select(*PIXEL, *extra, *needed, *scl)
-    medians = grouped_stats(rows, [*PIXEL, *extra], wanted, check_skew)
-    derived = {f"{name}_m": f(*[F.col(f"{b}_m") for b in read]) for name, (f, read) in indices.items()}
-    return medians.withColumns(derived).select(*PIXEL, *extra, *[f"{c}_m" for c in [*bands, *indices, *scl]])
+    medians = grouped_stats(rows, [*PIXEL, *extra], _pixel_stats(needed, scl), check_skew)
+    return _with_indices(medians, bands, indices, extra, scl)
+
+
+def _plot_level(
+    pixels: DataFrame, bands: Sequence[str], indices: Indices, funs: Sequence[str], extra: Sequence[str], share: str | None, check_skew: bool
+) -> DataFrame:
+    wanted = {f"{m.lower()}_{f}": (f, f"{m}_m") for m in [*bands, *indices] for f in funs}
+    if share:
+        wanted["veg_pc"] = (share, "SCL_m")
+    if check_skew:
+        # Read again by every step for the large plots.
+        pixels = materialize(pixels)
+    stats = grouped_stats(pixels, ["id", *extra], wanted, check_skew)
+    values = [round_even(F.col(c), DIGITS).alias(c) for c in wanted]
+    return stats.select("id", *extra, *values)
 
 
 def two_level_stats(
@@ -56,18 +81,10 @@ def two_level_stats(
     each of its two levels is checked for skew on its own. `census` is a cheaper table
     that holds at least as many rows of every plot, to look for large plots in.
     """
-    wanted = {f"{m.lower()}_{f}": (f, f"{m}_m") for m in [*bands, *indices] for f in funs}
-    if share:
-        wanted["veg_pc"] = (share, "SCL_m")
 
     def levels(rows: DataFrame, check_skew: bool) -> DataFrame:
         pixels = pixel_medians(rows, bands, indices, extra, share is not None, check_skew)
-        if check_skew:
-            # Read again by every step for the large plots.
-            pixels = materialize(pixels)
-        stats = grouped_stats(pixels, ["id", *extra], wanted, check_skew)
-        values = [round_even(F.col(c), DIGITS).alias(c) for c in wanted]
-        return stats.select("id", *extra, *values)
+        return _plot_level(pixels, bands, indices, funs, extra, share, check_skew)
 
     hot = hot_groups(obs if census is None else census, ["id"])
     if hot is None:
@@ -76,6 +93,41 @@ def two_level_stats(
     return levels(cold_rows.repartition("id"), False).unionByName(levels(hot_rows, True))
 
 
+# --- mergeable state -------------------------------------------------------------------
+
+
+def pixel_runs(obs: DataFrame, bands: Sequence[str], indices: Indices, scene_class: bool = False) -> DataFrame:
+    """Run lengths: one row per pixel, measure and value with its number `n` of observations.
+
+    Two such tables are merged by adding up `n` (`merged_runs`); the statistics of the first level
+    need nothing else.
+    """
+    needed, scl = _level_columns(bands, indices, scene_class)
+    return merged_runs(measured(obs, PIXEL, sorted([*needed, *scl])).withColumn("n", F.lit(1).cast("bigint")))
+
+
+def merged_runs(runs: DataFrame) -> DataFrame:
+    return runs.groupBy(*[c for c in runs.columns if c != "n"]).agg(F.sum("n").alias("n"))
+
+
+def stats_of_runs(
+    runs: DataFrame, like: DataFrame, bands: Sequence[str], indices: Indices, funs: Sequence[str], share: str | None = None
+) -> DataFrame:
+    """The statistics of `two_level_stats` from run lengths; `like` has the types of the observations."""
+    needed, scl = _level_columns(bands, indices, share is not None)
+
+    def levels(rows: DataFrame, check_skew: bool) -> DataFrame:
+        medians = tallied_stats(rows, PIXEL, _pixel_stats(needed, scl), like)
+        return _plot_level(_with_indices(medians, bands, indices, (), scl), bands, indices, funs, (), share, check_skew)
+
+    hot = hot_groups(runs, ["id"])
+    if hot is None:
+        return levels(runs.repartition("id"), False)
+    hot_rows, cold_rows = split_hot(runs, ["id"], hot)
+    # a pixel's runs are sorted, which spills
+    return levels(cold_rows.repartition("id"), False).unionByName(levels(hot_rows.repartition(*PIXEL), True))
+
+
 def _share(compat: bool) -> str:
     return "veg_share_compat" if compat else "veg_share"
 

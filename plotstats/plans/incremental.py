@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from plotstats.operators.plot_stats import plot_stats
 from plotstats.plans.statistics import SEASONAL_SQL, SEASONAL_STATS, level_sql
 from plotstats.plans.views import END, RAW_SQL, START, raw_observations
 from plotstats.session import scratch_path
@@ -32,16 +31,7 @@ def incremental_ingest(spark, sf_dir):
 def incremental_features(spark, sf_dir):
     source, schema = _raw_files(spark, sf_dir, 2)
     observations, features, state = (scratch_path(spark, n) for n in ("observations", "features", "state"))
-    stream.refresh_features(
-        spark,
-        source,
-        observations,
-        features,
-        state,
-        lambda df: plot_stats(df, START, END, bands=BANDS),
-        schema,
-        files_per_batch=1,
-    )
+    stream.refresh_plot_stats(spark, source, observations, features, state, START, END, BANDS, schema, files_per_batch=1)
     return stream.latest_features(spark, features)
 
 

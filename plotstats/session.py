@@ -65,3 +65,20 @@ def materialize(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in whatever store Spark can reach."""
+    path, store = _file_system(spark, pattern)
+    return [str(s.getPath().toString()) for s in (store.globStatus(path) or [])]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a written table that nothing reads any more."""
+    jpath, store = _file_system(spark, path)
+    store.delete(jpath, True)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plotstats.operators.observations import clean_observations
+from plotstats.operators.indices import SEASONAL_INDICES
+from plotstats.operators.observations import clean_observations, clear_sky, in_days
+from plotstats.operators.plot_stats import merged_runs, pixel_runs, stats_of_runs
 from plotstats.operators.skew import lookup_join
-from plotstats.schemas import RAW_OBSERVATIONS
+from plotstats.schemas import RAW_OBSERVATIONS, SEASONAL_STATS
+from plotstats.session import folders, remove
 
 # Directories per batch of the observation table.
 BUCKETS = 256
@@ -65,8 +68,8 @@ def refresh_features(
 ) -> None:
     """Ingests like `ingest` and recomputes the features of the plots each batch touches.
 
-    Exact order statistics cannot be updated in place, so `compute` runs over all stored
-    observations of the touched plots. These are stored by bucket of the plot id, so
+    For any `compute`: it runs over all stored
+    observations of the touched plots (`refresh_plot_stats` needs only a mergeable state). These are stored by bucket of the plot id, so
     only the buckets with a touched plot are read. Both tables are written per batch
     number: a batch that is run again replaces its own output, and a reader takes the
     latest row per plot.
@@ -110,6 +113,87 @@ def refresh_features(
     query.awaitTermination()
 
 
+def state_versions(spark: SparkSession, state: str, buckets: list[int], before: int) -> dict[int, list[tuple[int, str]]]:
+    """Of each bucket, the versions of its state older than batch `before`, newest first, with their paths."""
+    found: dict[int, list[tuple[int, str]]] = {}
+    for bucket in buckets:
+        paths = folders(spark, f"{state}/bucket={bucket}/version=*")
+        versions = [(int(p.rsplit("=", 1)[1]), p) for p in paths]
+        found[bucket] = sorted((v for v in versions if v[0] < before), reverse=True)
+    return found
+
+
+def refresh_plot_stats(
+    spark: SparkSession,
+    source: str,
+    observations: str,
+    features: str,
+    state: str,
+    start: str,
+    end: str,
+    bands: Sequence[str],
+    schema: T.StructType = RAW_OBSERVATIONS,
+    files_per_batch: int | None = None,
+    buckets: int = BUCKETS,
+) -> None:
+    """Ingests like `ingest` and brings the `plot_stats` of the plots each batch touches up to date.
+
+    The state holds, by bucket of the plot, the run lengths of every pixel and measure: they are exact and merge by addition, so a
+    batch reads its own rows and the state of the buckets it touches, never earlier observations. A
+    bucket's state is written as a new version, numbered like the batch: a batch that is run again starts from
+    the same older version and replaces its own output. Versions that no batch can need any more are deleted.
+    """
+    runs_state = f"{state}/runs"
+
+    def on_batch(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        cleaned = clean_observations(batch).withColumn("bucket", F.pmod(F.hash("id"), F.lit(buckets)))
+        own_rows = f"{observations}/batch={number}"
+        cleaned.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(own_rows)
+        own = session.read.schema(cleaned.schema).parquet(own_rows)
+        clear = own.where(in_days(start, end) & clear_sky())
+        delta = pixel_runs(clear, bands, SEASONAL_INDICES, scene_class=True)
+        # At most `buckets` numbers.
+        touched = sorted(r[0] for r in clear.select("bucket").distinct().collect())
+        if not touched:
+            return
+        older = state_versions(session, runs_state, touched, number)
+        paths = [versions[0][1] for versions in older.values() if versions]
+        if paths:
+            delta = merged_runs(delta.unionByName(session.read.schema(delta.schema).parquet(*paths)))
+        placed = delta.withColumns({"bucket": F.pmod(F.hash("id"), F.lit(buckets)), "version": F.lit(number)})
+        (
+            placed.hint("rebalance", "bucket")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("bucket", "version")
+            .parquet(runs_state)
+        )
+        now = session.read.schema(delta.schema).parquet(*[f"{runs_state}/bucket={b}/version={number}" for b in touched])
+        ids = clear.select("id").distinct()
+        affected = lookup_join(now, ids, ["id"], "left_semi")
+        (
+            stats_of_runs(affected, clear, bands, SEASONAL_INDICES, SEASONAL_STATS, "veg_share")
+            .withColumn("batch", F.lit(number))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(features)
+        )
+        for versions in older.values():
+            for _, path in versions[1:]:
+                remove(session, path)
+
+    query = (
+        _new_files(spark, source, schema, files_per_batch)
+        .writeStream.foreachBatch(on_batch)
+        .option("checkpointLocation", f"{state}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def latest_features(spark: SparkSession, features: str) -> DataFrame:
     """The current feature row of every plot: the one of the last batch that touched it."""
     stored = spark.read.parquet(features)
