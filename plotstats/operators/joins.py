@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,78 +34,110 @@ def _agrees(a: Column, b: Column) -> Column:
     return F.abs(a - b) <= tolerance(b)
 
 
+# Deepest cells have side FINE / 8^DEPTH; a cell with more distinct points than LEAF is looked at through its 64 parts.
+DEPTH = 6
+LEAF = 64
+
+
+def _cell(level: int) -> list[Column]:
+    """Cell of a right point at `level`, as columns named alike at every level."""
+    return [F.shiftright(c, 3 * (DEPTH - level)).alias(f"{c}{level}") for c in ("qx", "qy")]
+
+
+def _depth(points: DataFrame, keys: list[str]) -> int:
+    """Levels below the first until no cell holds more than LEAF points. One small count of the right side per level."""
+    for level in range(DEPTH):
+        most = points.groupBy(*keys, "bx", "by", *_cell(level)).count().agg(F.max("count")).first()[0]
+        if (most or 0) <= LEAF:
+            return level
+    return DEPTH
+
+
+def _relation(near: DataFrame) -> DataFrame:
+    """Pairs of a left point and a cell that may agree, with `inside`: all points of the cell agree."""
+    tests = []
+    for x in ("lon", "lat"):
+        lo, hi, v = F.col(f"b_{x}_lo"), F.col(f"b_{x}_hi"), F.col(f"a_{x}")
+        least = ATOL + RTOL * F.when((lo <= 0) & (hi >= 0), 0.0).otherwise(F.least(F.abs(lo), F.abs(hi)))
+        most = ATOL + RTOL * F.greatest(F.abs(lo), F.abs(hi))
+        single = lo == hi
+        inside = F.when(single, _agrees(v, lo)).otherwise(F.greatest(F.abs(v - lo), F.abs(v - hi)) <= least)
+        apart = F.when(single, ~_agrees(v, lo)).otherwise((v < lo - most * 1.0000001) | (v > hi + most * 1.0000001))
+        tests.append((inside, apart))
+    (in_x, out_x), (in_y, out_y) = tests
+    return near.where(~(out_x | out_y)).withColumn("inside", in_x & in_y)
+
+
 def tolerance_matches(
-    left: DataFrame, right: DataFrame, right_key: str, coords: tuple[str, str] = ("longitude", "latitude")
+    left: DataFrame,
+    right: DataFrame,
+    right_key: str,
+    coords: tuple[str, str] = ("longitude", "latitude"),
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Per distinct left coordinate pair: number of agreeing right rows (capped at 2) and, if
+    """Per distinct left coordinate pair (and `by` columns, which must be equal): `matches`, the number of agreeing right rows, and, if
     it is one, its key. `right` holds one row per `right_key`.
 
-    Equal coordinates are collapsed on both sides. Right points are summarised per
+    Equal coordinates are collapsed on both sides. Right points are counted per
     small cell; a cell entirely inside or outside the tolerance needs no look at its
-    points, so a dense spot does not produce all pairs. Points are compared one by one
-    only for cells on the border, and only where the count is still below two.
+    points, so a dense spot does not produce all pairs. On the border of the tolerance, a cell with many points is replaced by
+    its 64 parts, again and again; only the points of border cells with few of them are compared one by one.
     """
     lon, lat = coords
+    keys = list(by)
     a = (
-        left.select(F.col(lon).alias("a_lon"), F.col(lat).alias("a_lat"))
+        left.select(*keys, F.col(lon).alias("a_lon"), F.col(lat).alias("a_lat"))
         .where("a_lon is not null and a_lat is not null")
         .distinct()
         .withColumn("cx", F.floor(_scaled(F.col("a_lon")) / COARSE))
         .withColumn("cy", F.floor(_scaled(F.col("a_lat")) / COARSE))
     )
+    one = [*keys, "a_lon", "a_lat"]
+    finest = FINE / 8**DEPTH
     points = (
         right.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-        .groupBy(F.col(lon).alias("b_lon"), F.col(lat).alias("b_lat"))
+        .groupBy(*keys, F.col(lon).alias("b_lon"), F.col(lat).alias("b_lat"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(right_key).alias("key"))
-        .withColumn("fx", F.floor(_scaled(F.col("b_lon")) / FINE))
-        .withColumn("fy", F.floor(_scaled(F.col("b_lat")) / FINE))
+        .withColumns(
+            {
+                "bx": F.floor(_scaled(F.col("b_lon")) / COARSE),
+                "by": F.floor(_scaled(F.col("b_lat")) / COARSE),
+                "qx": F.floor(_scaled(F.col("b_lon")) / finest),
+                "qy": F.floor(_scaled(F.col("b_lat")) / finest),
+            }
+        )
     )
-    neighbours = F.expr("inline(flatten(transform(array(-1L, 0L, 1L), i -> transform(array(-1L, 0L, 1L), j -> "
-                        "struct(bx + i as cx, by + j as cy)))))")
-    cells = (
-        points.withColumn("bx", F.floor(_scaled(F.col("b_lon")) / COARSE))
-        .withColumn("by", F.floor(_scaled(F.col("b_lat")) / COARSE))
-        .groupBy("fx", "fy", "bx", "by")
-        .agg(
+    depth = _depth(points, keys)
+
+    def cells(level: int) -> DataFrame:
+        parent = _cell(level - 1) if level else []
+        return points.groupBy(*keys, "bx", "by", *parent, *_cell(level)).agg(
             F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("held"),
             F.min("key").alias("key"),
             *[f(c).alias(f"{c}_{s}") for c in ("b_lon", "b_lat") for s, f in (("lo", F.min), ("hi", F.max))],
         )
-    )
-    tests = []
-    for x in ("lon", "lat"):
-        lo, hi, v = F.col(f"b_{x}_lo"), F.col(f"b_{x}_hi"), F.col(f"a_{x}")
-        least = ATOL + RTOL * F.when((lo <= 0) & (hi >= 0), 0.0).otherwise(F.least(F.abs(lo), F.abs(hi)))
-        most = ATOL + RTOL * F.greatest(F.abs(lo), F.abs(hi))
-        single = lo == hi
-        inside = F.when(single, _agrees(v, lo)).otherwise(F.greatest(F.abs(v - lo), F.abs(v - hi)) <= least)
-        apart = F.when(single, ~_agrees(v, lo)).otherwise((v < lo - most * 1.0000001) | (v > hi + most * 1.0000001))
-        tests.append((inside, apart))
-    (in_x, out_x), (in_y, out_y) = tests
-    near = a.join(cells.select("*", neighbours), ["cx", "cy"]).where(~(out_x | out_y)).withColumn("inside", in_x & in_y)
-    decided = near.groupBy("a_lon", "a_lat").agg(
-        F.coalesce(F.sum(F.when(F.col("inside"), F.col("n"))), F.lit(0)).alias("sure"),
-        F.min(F.when(F.col("inside"), F.col("key"))).alias("key"),
-        F.collect_set(F.when(~F.col("inside"), F.struct("fx", "fy", "bx", "by"))).alias("border"),
-    )
-    border = (
-        decided.where("sure < 2 and size(border) > 0")
-        .select("a_lon", "a_lat", F.inline("border"))
-        .join(
-            points.withColumn("bx", F.floor(_scaled(F.col("b_lon")) / COARSE)).withColumn(
-                "by", F.floor(_scaled(F.col("b_lat")) / COARSE)
-            ),
-            ["fx", "fy", "bx", "by"],
-        )
-        .where(_agrees(F.col("a_lon"), F.col("b_lon")) & _agrees(F.col("a_lat"), F.col("b_lat")))
-        .select("a_lon", "a_lat", F.col("n").alias("sure"), "key")
-    )
+
+    neighbours = F.expr("inline(flatten(transform(array(-1L, 0L, 1L), i -> transform(array(-1L, 0L, 1L), j -> "
+                        "struct(bx + i as cx, by + j as cy)))))")
+    near = _relation(a.join(cells(0).select("*", neighbours), [*keys, "cx", "cy"]))
+    found = []
+    for level in range(depth + 1):
+        names = ["bx", "by", f"qx{level}", f"qy{level}"]
+        found.append(near.where("inside").select(*one, "n", "key"))
+        border = near.where("not inside")
+        leaves = border.where(F.col("held") <= LEAF) if level < depth else border
+        compared = leaves.select(*one, *names).join(points.select(*keys, "bx", "by", *_cell(level), "b_lon", "b_lat", "n", "key"), [*keys, *names])
+        agreeing = _agrees(F.col("a_lon"), F.col("b_lon")) & _agrees(F.col("a_lat"), F.col("b_lat"))
+        found.append(compared.where(agreeing).select(*one, "n", "key"))
+        if level < depth:
+            near = _relation(border.where(F.col("held") > LEAF).select(*one, *names).join(cells(level + 1), [*keys, *names]))
     return (
-        decided.select("a_lon", "a_lat", "sure", "key")
-        .unionByName(border)
-        .groupBy("a_lon", "a_lat")
-        .agg(F.least(F.sum("sure"), F.lit(2)).alias("matches"), F.min("key").alias("key"))
+        reduce(DataFrame.unionByName, found)
+        .groupBy(*one)
+        .agg(F.sum("n").alias("matches"), F.min("key").alias("key"))
         .select(
+            *keys,
             F.col("a_lon").alias(lon),
             F.col("a_lat").alias(lat),
             "matches",
@@ -114,40 +147,58 @@ def tolerance_matches(
 
 
 def tolerance_join(
-    left: DataFrame, right: DataFrame, right_key: str, coords: tuple[str, str] = ("longitude", "latitude")
+    left: DataFrame,
+    right: DataFrame,
+    right_key: str,
+    coords: tuple[str, str] = ("longitude", "latitude"),
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Left rows that agree with exactly one right row, with its columns; shared names get `_x`, `_y`."""
-    matched = tolerance_matches(left, right, right_key, coords).where("matches = 1").drop("matches")
+    """Left rows that agree with exactly one right row, with its columns; shared names get `_x`, `_y`.
+
+    The joins are by distinct coordinates and by the right key; many left rows on one spot are split by adaptive skew handling.
+    """
+    matched = tolerance_matches(left, right, right_key, coords, by).where("matches = 1").drop("matches")
     matched = matched.withColumnRenamed(right_key, "_match")
-    keyed = lookup_join(left, matched, list(coords), "inner")
-    return inner_join_suffix(keyed, right, "_match", right_key).drop("_match")
+    keyed = left.join(matched, [*by, *coords])
+    return inner_join_suffix(keyed, right, "_match", right_key, hot=None).drop("_match")
+
 
+def join_exports(exports: DataFrame, plots: DataFrame, plot_key: str = "plot_id", region: str | None = None) -> DataFrame:
+    """Exported samples, placed by their geometry text `.geo`, with the one plot they agree with.
 
-def join_exports(exports: DataFrame, plots: DataFrame, plot_key: str = "plot_id") -> DataFrame:
-    """Exported samples, placed by their geometry text `.geo`, with the one plot they agree with."""
+    With `region`, a column of both tables, samples only meet plots of their own region: exports and plots of all
+    regions are joined in one job.
+    """
     lon, lat = point_coordinates(F.col("`.geo`"))
     placed = exports.drop("system:index").withColumns({"longitude": lon, "latitude": lat})
-    return tolerance_join(placed, plots, plot_key)
+    return tolerance_join(placed, plots, plot_key, by=[region] if region else [])
 
 
 def tolerance_join_report(
-    left: DataFrame, right: DataFrame, right_key: str, coords: tuple[str, str] = ("longitude", "latitude")
+    left: DataFrame,
+    right: DataFrame,
+    right_key: str,
+    coords: tuple[str, str] = ("longitude", "latitude"),
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """All left rows with `match_status` none, one or many."""
-    counted = tolerance_matches(left, right, right_key, coords).drop(right_key)
+    """All left rows with `matches`, the number of right rows they agree with, and `match_status` none, one or many."""
+    counted = tolerance_matches(left, right, right_key, coords, by).drop(right_key)
     status = F.when(F.col("matches") == 1, "one").when(F.col("matches") > 1, "many").otherwise("none")
-    joined = lookup_join(left, counted, list(coords), "left")
-    return joined.select(*left.columns, status.alias("match_status"))
+    joined = left.join(counted, [*by, *coords], "left")
+    return joined.select(*left.columns, F.coalesce("matches", F.lit(0)).alias("matches"), status.alias("match_status"))
 
 
-def inner_join_suffix(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """Inner join of each left row with its one right row; columns of both sides get `_x` and `_y`."""
+def inner_join_suffix(left: DataFrame, right: DataFrame, left_on: str, right_on: str, hot: DataFrame | None | bool = None) -> DataFrame:
+    """Inner join of each left row with its one right row; columns of both sides get `_x` and `_y`.
+
+    Rows of a frequent key are split by adaptive skew handling; `hot=True` looks for such keys first and sends their partners by broadcast.
+    """
     shared = set(left.columns) & set(right.columns)
     a = left.select(*[F.col(f"`{c}`").alias(f"{c}_x" if c in shared else c) for c in left.columns])
     b = right.select(*[F.col(f"`{c}`").alias(f"{c}_y" if c in shared else c) for c in right.columns])
     a_key = f"{left_on}_x" if left_on in shared else left_on
     b_key = f"{right_on}_y" if right_on in shared else right_on
-    joined = lookup_join(a.withColumn("_on", F.col(a_key)), b.withColumn("_on", F.col(b_key)), ["_on"], "inner")
+    joined = lookup_join(a.withColumn("_on", F.col(a_key)), b.withColumn("_on", F.col(b_key)), ["_on"], "inner", hot=hot)
     return joined.drop("_on")
 
 

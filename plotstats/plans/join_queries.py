@@ -33,6 +33,13 @@ def tolerance_join_report(spark, sf_dir):
     return report.select("sample_id", "match_status")
 
 
+def tolerance_join_counts(spark, sf_dir):
+    """Number of sites that each sample agrees with, within its half of the ids."""
+    left = samples(spark, sf_dir).withColumn("half", F.col("sample_id") % 2)
+    right = sites(spark, sf_dir).withColumn("half", F.col("plot_id") % 2)
+    return joins.tolerance_join_report(left, right, "plot_id", by=["half"]).select("sample_id", "half", "matches", "match_status")
+
+
 def inner_join_suffix(spark, sf_dir):
     people = table(spark, sf_dir, "customer").selectExpr("c_custkey as key", "c_name as name", "c_nationkey as at")
     nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey as key", "n_name as name")
@@ -161,6 +168,11 @@ QUERIES = {
         "select sample_id, case n when 0 then 'none' when 1 then 'one' else 'many' end as match_status"
         f" from {_MATCHES}",
     ),
+    "tolerance_join_counts": (
+        tolerance_join_counts,
+        "select a.sample_id, a.sample_id % 2 as half, count(b.plot_id) as matches, case count(b.plot_id) when 0 then 'none' when 1 then 'one' else 'many' end as match_status"
+        f" from {SAMPLES_SQL} a left join {SITES_SQL} b on {_CLOSE} and a.sample_id % 2 = b.plot_id % 2 group by a.sample_id",
+    ),
     "inner_join_suffix": (
         inner_join_suffix,
         "select c_custkey as key_x, c_name as name_x, c_nationkey as at, n_nationkey as key_y, n_name as name_y"
