@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plotstats.functions.math import logit
 from plotstats.operators import evaluate as ev
-from plotstats.operators import joins, models, prep, sampling
+from plotstats.operators import boosting, joins, models, prep, sampling
 from plotstats.operators.tables import drop_nulls
 from plotstats.plans.views import EVAL_SQL, PLOTS_SQL, labelled, plots, table
 from plotstats.session import scratch_path
@@ -185,6 +185,45 @@ def ml_gbt(spark, sf_dir):
     return _report(models.load_model(path), test, "t", True)
 
 
+def ml_huber(spark, sf_dir):
+    """Trees with Huber loss, dropout and best-leaf-first growth; saved, loaded and evaluated on the held-out rows."""
+    train, test = _model_rows(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    boosting.train_huber(train, "t", FEATURES, trees=5, rate=0.4, leaves=16).save(spark, path)
+    return _report(boosting.Model.load(spark, path), test, "t", True)
+
+
+def ml_huber_split(spark, sf_dir):
+    """The best first split by each feature."""
+    train, _ = _model_rows(spark, sf_dir)
+    found = boosting.first_split(train, "tree_cover", FEATURES, delta=0.2)
+    return found.select("feature", "value", F.round("gain", 4).alias("gain"))
+
+
+_MODEL_SQL = (
+    "(select *, cast('0x' || substr(md5(concat(row_id, '-42')), 1, 8) as bigint) % 1000 < 200 as in_test from (select"
+    " concat(l_orderkey, '-', l_partkey, '-', l_suppkey, '-', l_linenumber) as row_id,"
+    " least((l_quantity + l_discount * 100 + l_extendedprice / 10000) / 70, 95e-2) as tree_cover,"
+    " cast(l_linenumber as double) as l_linenumber, l_quantity, l_discount, l_tax from lineitem))"
+)
+_HUBER_SPLIT_SQL = f"""
+with rows as (
+  select *, greatest(least((select avg(tree_cover) from {_MODEL_SQL} where not in_test) - tree_cover, 2e-1), -2e-1) as g
+  from {_MODEL_SQL} where not in_test
+), long as (
+  {" union all ".join(f"select '{c}' as feature, {c}::double as x, g from rows" for c in FEATURES)}
+), tally as (
+  select feature, x, sum(g) as g, count(*) as n from long group by all
+), ends as (
+  select feature, x, sum(g) over up as lg, sum(n) over up as ln, sum(g) over whole as tg, sum(n) over whole as tn from tally
+  window up as (partition by feature order by x), whole as (partition by feature)
+), gains as (
+  select feature, x, lg * lg / ln + (tg - lg) * (tg - lg) / (tn - ln) - tg * tg / tn as gain from ends where ln >= 50 and tn - ln >= 50
+)
+select feature, arg_max(x, gain) as value, round(max(gain), 4) as gain from gains where gain > 0 group by feature
+"""
+
+
 def ml_forest(spark, sf_dir):
     train, test = _model_rows(spark, sf_dir)
     model = models.train_forest(train, "tree_cover", FEATURES, trees=20)
@@ -282,6 +321,8 @@ QUERIES = {
         f" from {_REST})",
     ),
     "ml_gbt": (ml_gbt, None),
+    "ml_huber": (ml_huber, None),
+    "ml_huber_split": (ml_huber_split, _HUBER_SPLIT_SQL),
     "ml_forest": (ml_forest, None),
     "ml_classifier": (ml_classifier, None),
     "ml_grid_search": (ml_grid_search, None),
