@@ -37,6 +37,11 @@ SCALARS: dict[str, tuple[str, str, str]] = {
     "ps_power": ("x DOUBLE, y DOUBLE", "DOUBLE", _finite("pow(x, y)")),
     "ps_sign": ("x DOUBLE", "DOUBLE", "signum(x)"),
     "square": ("x DOUBLE", "DOUBLE", "x * x"),
+    # a session function has one signature, so whole numbers have names of their own
+    "ps_sign_whole": ("x BIGINT", "BIGINT", "cast(signum(x) as bigint)"),
+    "square_whole": ("x BIGINT", "BIGINT", "try_multiply(x, x)"),
+    "ps_ceil_whole": ("x BIGINT", "BIGINT", "x"),
+    "ps_floor_whole": ("x BIGINT", "BIGINT", "x"),
     "ps_ceil": ("x DOUBLE", "BIGINT", "cast(ceil(x) as bigint)"),
     "ps_floor": ("x DOUBLE", "BIGINT", "cast(floor(x) as bigint)"),
     "ps_pi": ("", "DOUBLE", "pi()"),
@@ -101,21 +106,27 @@ SCALARS: dict[str, tuple[str, str, str]] = {
 }
 
 # Aggregates as functions of the collected, non-null values of a group.
-_SORTED = "sort_array(v)"
+_SORTED = "sort_array(filter(v, x -> x is not null))"
 
 
 def _quartile(k: int) -> str:
-    low = f"get({_SORTED}, cast(floor((size(v) * {k} + 3) / 4) as int) - 1)"
-    high = f"get({_SORTED}, cast(floor(size(v) * {k} / 4) as int))"
+    low = f"get({_SORTED}, cast(floor((size({_SORTED}) * {k} + 3) / 4) as int) - 1)"
+    high = f"get({_SORTED}, cast(floor(size({_SORTED}) * {k} / 4) as int))"
     return f"({low} + {high}) / 2"
 
 
-_SPREAD = "aggregate(v, 0D, (a, x) -> a + (x - aggregate(v, 0D, (b, y) -> b + y) / size(v)) * (x - aggregate(v, 0D, (b, y) -> b + y) / size(v)))"
-_VARIANCE = f"case when size(v) > 1 then {_SPREAD} / (size(v) - 1) else 0D end"
-_TIMES = "transform(array_distinct(v), d -> size(filter(v, x -> x = d)))"
+# One pass each: the spread by running means, the mode by the runs of the sorted values.
+_KNOWN = "filter(v, x -> x is not null)"
+_NEXT_MEAN = "a.mean + (x - a.mean) / (a.n + 1D)"
+_VARIANCE = (
+    f"aggregate({_KNOWN}, named_struct('n', 0D, 'mean', 0D, 'm2', 0D), (a, x) -> named_struct('n', a.n + 1D, 'mean', {_NEXT_MEAN},"
+    f" 'm2', a.m2 + (x - a.mean) * (x - ({_NEXT_MEAN}))), a -> case when a.n > 1D then a.m2 / (a.n - 1D) else 0D end)"
+)
+_RUN = "if(x <=> a.x, a.run + 1, 1)"
 _MODE = (
-    f"case when size(filter({_TIMES}, n -> n = array_max({_TIMES}))) = 1"
-    f" then get(array_distinct(v), cast(array_position({_TIMES}, array_max({_TIMES})) as int) - 1) end"
+    f"aggregate(sort_array(transform({_KNOWN}, x -> x + 0D)), named_struct('x', cast(null as double), 'run', 0, 'most', 0, 'top', cast(null as double), 'ties', 0),"
+    f" (a, x) -> named_struct('x', x, 'run', {_RUN}, 'most', greatest(a.most, {_RUN}), 'top', if({_RUN} > a.most, x, a.top),"
+    f" 'ties', if({_RUN} > a.most, 1, a.ties + if({_RUN} = a.most, 1, 0))), a -> if(a.ties = 1, a.top, null))"
 )
 
 ARRAY_AGGREGATES: dict[str, str] = {

@@ -7,17 +7,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _inputs(cols: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep")
+from plotstats.operators.prep import category_stages
 
 
+def _inputs(cols: Sequence[str], categories: Sequence[str] = ()) -> list:
+    """Stages that gather the features: numbers as they are, categories as sparse vectors."""
+    vectors = [f"{c}_vector" for c in categories]
+    return [*category_stages(categories), VectorAssembler(inputCols=[*cols, *vectors], outputCol="features", handleInvalid="keep")]
 
 
 def gbt_regressor(label: str, weight: str | None = None, **params) -> GBTRegressor:
@@ -28,23 +30,23 @@ def gbt_regressor(label: str, weight: str | None = None, **params) -> GBTRegress
     return model.setWeightCol(weight) if weight else model
 
 
-def train_boost(train: DataFrame, label: str, cols: Sequence[str], weight: str | None = None, **params) -> PipelineModel:
-    return Pipeline(stages=[_inputs(cols), gbt_regressor(label, weight, **params)]).fit(train)
+def train_boost(train: DataFrame, label: str, cols: Sequence[str], weight: str | None = None, categories: Sequence[str] = (), **params) -> PipelineModel:
+    return Pipeline(stages=[*_inputs(cols, categories), gbt_regressor(label, weight, **params)]).fit(train)
 
 
-def train_forest(train: DataFrame, label: str, cols: Sequence[str], trees: int = 100, **params) -> PipelineModel:
+def train_forest(train: DataFrame, label: str, cols: Sequence[str], trees: int = 100, categories: Sequence[str] = (), **params) -> PipelineModel:
     forest = RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, seed=42, **params)
-    return Pipeline(stages=[_inputs(cols), forest]).fit(train)
+    return Pipeline(stages=[*_inputs(cols, categories), forest]).fit(train)
 
 
-def train_classifier(train: DataFrame, label: str, cols: Sequence[str], **params) -> PipelineModel:
+def train_classifier(train: DataFrame, label: str, cols: Sequence[str], categories: Sequence[str] = (), **params) -> PipelineModel:
     """Boosted trees per class against the rest, for a text label such as the land use category."""
     settings = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5}
     settings.update(params)
     booster = GBTClassifier(featuresCol="features", seed=42, **settings)
     index = StringIndexer(inputCol=label, outputCol="label", handleInvalid="error", stringOrderType="alphabetAsc")
     versus = OneVsRest(classifier=booster, featuresCol="features", labelCol="label")
-    return Pipeline(stages=[index, _inputs(cols), versus]).fit(train)
+    return Pipeline(stages=[index, *_inputs(cols, categories), versus]).fit(train)
 
 
 def grid_search(
@@ -62,7 +64,7 @@ def grid_search(
     for name, values in grid.items():
         builder = builder.addGrid(booster.getParam(name), list(values))
     search = CrossValidator(
-        estimator=Pipeline(stages=[_inputs(cols), booster]),
+        estimator=Pipeline(stages=[*_inputs(cols), booster]),
         estimatorParamMaps=builder.build(),
         evaluator=RegressionEvaluator(labelCol=label, metricName="mae"),
         numFolds=folds,
@@ -80,11 +82,16 @@ def search_results(found: CrossValidatorModel) -> list[dict]:
     ]
 
 
-def importances(model: PipelineModel, cols: Sequence[str], df: DataFrame) -> DataFrame:
-    """One row per feature, most important first."""
+def importances(model: PipelineModel, cols: Sequence[str], df: DataFrame, categories: Sequence[str] = ()) -> DataFrame:
+    """One row per feature, most important first; a category has the sum of its levels."""
     spark = df.sparkSession
     scores = model.stages[-1].featureImportances.toArray()
     rows = [(c, float(v)) for c, v in zip(cols, scores)]
+    at = len(cols)
+    levels = {s.getInputCol(): len(s.labels) for s in model.stages if isinstance(s, StringIndexerModel)}
+    for c in categories:
+        rows.append((c, float(scores[at : at + levels[c]].sum())))
+        at += levels[c]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 

@@ -78,12 +78,14 @@ def with_season(df: DataFrame, seasons: Sequence[Season], time: str = "time") ->
 
 
 def select_ids(df: DataFrame, ids: range | Iterable[int] | DataFrame, key: str = "id") -> DataFrame:
-    """Rows of the given ids: a contiguous range as a comparison, a table of ids as a semi join."""
+    """Rows of the given ids: a contiguous range as a comparison, a table or list of ids as a semi join."""
     if isinstance(ids, DataFrame):
         return lookup_join(df, ids, [key], "left_semi")
     if isinstance(ids, range) and ids.step == 1:
         return df.where((F.col(key) >= ids.start) & (F.col(key) < ids.stop))
-    return df.where(F.col(key).isin(list(ids)))
+    kind = df.schema[key].dataType.simpleString()
+    named = df.sparkSession.createDataFrame([(i,) for i in set(ids)], f"`{key}` {kind}")
+    return df.join(named, key, "left_semi")
 
 
 def metadata_filter(df: DataFrame, min_quality: int = 7, max_cloud: float = 0.25) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,10 +22,11 @@ def feature_columns(columns: Sequence[str], key: str = "plot_id") -> list[str]:
     return [c for c in columns if c not in outside and not c.startswith("veg_pc")]
 
 
-def load_training(df: DataFrame, target: str = "tree_cover", cols: Sequence[str] | None = None) -> DataFrame:
-    """Complete, distinct rows; target and features only."""
-    cols = list(cols) if cols is not None else feature_columns(df.columns)
-    return df.na.drop().dropDuplicates().select(target, *[c for c in cols if c != target])
+def load_training(df: DataFrame, target: str = "tree_cover", cols: Sequence[str] | None = None, key: str | None = None) -> DataFrame:
+    """Complete, distinct rows; target and features only, and the row `key` that sampling, splitting and the rest need, if named."""
+    cols = list(cols) if cols is not None else feature_columns(df.columns, key or "plot_id")
+    kept = [c for c in (key, target) if c]
+    return df.na.drop().dropDuplicates().select(*kept, *[c for c in cols if c not in kept])
 
 
 def assemble(df: DataFrame, cols: Sequence[str], name: str = "features") -> DataFrame:
@@ -49,19 +50,28 @@ def category_index(df: DataFrame, column: str, name: str | None = None) -> DataF
 def one_hot_drop_first(df: DataFrame, column: str, levels: Sequence[str] | None = None) -> DataFrame:
     """A 0/1 column per level except the alphabetically first, named `{column}_{level}`.
 
-    Levels become columns, so there must be few; they are looked up unless given.
+    Each level becomes a column, so this is for few levels, which are looked up unless given; `category_stages` takes any number.
     """
     if levels is None:
-        found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(10_001).collect()
-        if len(found) > 10_000:
-            raise ValueError(f"{column} has too many levels for one column each")
-        levels = [r[0] for r in found]
+        levels = [r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect()]
     flags = [
         F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{column}_{v}") for v in sorted(levels)[1:]
     ]
     return df.select(*[c for c in df.columns if c != column], *flags)
 
 
+def category_stages(columns: Sequence[str]) -> list:
+    """Stages that turn each column into a sparse vector `{column}_vector`, one place per level in sorted order.
+
+    Any number of levels; they are kept in the fitted stages, so a saved pipeline codes new rows alike. A level that
+    was not seen when fitting, and NULL, is the vector of zeros.
+    """
+    index = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep", stringOrderType="alphabetAsc") for c in columns]
+    # the place that is dropped is the last, of unseen levels
+    hot = OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_vector" for c in columns], dropLast=True)
+    return [*index, hot] if columns else []
+
+
 def min_max_scale(df: DataFrame, cols: Sequence[str], low: float = -1.0, high: float = 1.0) -> DataFrame:
     """Columns scaled to [low, high] over the whole table; a constant column becomes `low`."""
     ends = df.agg(*[f(c).alias(f"{c}_{n}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))])

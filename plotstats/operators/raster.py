@@ -19,7 +19,8 @@ from plotstats.operators.observations import clear_sky, in_days
 from plotstats.operators.plot_stats import pixel_medians
 from plotstats.operators.prep import from_byte_scale, to_byte_scale
 from plotstats.operators.sampling import key_hash
-from plotstats.operators.skew import lookup_join
+from plotstats.operators.skew import hot_groups, lookup_join, split_hot
+from plotstats.session import materialize
 
 CELL = ["image_id", "row", "col"]
 SHAPE = ["height", "width"]
@@ -236,16 +237,11 @@ RASTER_BANDS = ["R", "G", "B", "ndvi"]
 RASTER_SIZE = (8, 7)
 
 
-def plot_raster(obs: DataFrame, start: str, end: str, size: tuple[int, int] = RASTER_SIZE) -> DataFrame:
-    """One row per plot with `{band}_{x}_{y}`, scaled to [-1, 1]: medians of the pixels as an image.
-
-    Pixels are placed by the rank of their longitude and latitude in the plot; plots with
-    missing pixels are left out. Positions are ranked among the distinct coordinates only.
-    """
-    clear = obs.where(in_days(start, end)).where(clear_sky())
-    medians = pixel_medians(clear, ["TCI_R", "TCI_G", "TCI_B"], SEASONAL_INDICES)
+def _raster_pixels(clear: DataFrame, check_skew: bool) -> DataFrame:
+    """Median colours and index of every pixel, on the byte scale."""
+    medians = pixel_medians(clear, ["TCI_R", "TCI_G", "TCI_B"], SEASONAL_INDICES, check_skew=check_skew)
     channels = {"R": "TCI_R_m", "G": "TCI_G_m", "B": "TCI_B_m"}
-    values = medians.select(
+    return medians.select(
         F.col("id").alias("image_id"),
         "longitude",
         "latitude",
@@ -254,18 +250,35 @@ def plot_raster(obs: DataFrame, start: str, end: str, size: tuple[int, int] = RA
         F.rint(to_byte_scale(F.col("NDVI_m"))).alias("ndvi"),
     )
 
+
+def _placed(pixels: DataFrame) -> DataFrame:
+    """Pixels of complete plots with their cell. Rows of a plot lie in one partition, so nothing moves."""
+    plot = Window.partitionBy("image_id")
+    ranked = pixels.where("longitude is not null and latitude is not null").withColumns(
+        {
+            "row": (F.dense_rank().over(plot.orderBy("longitude")) - 1).cast("bigint"),
+            "col": (F.dense_rank().over(plot.orderBy("latitude")) - 1).cast("bigint"),
+        }
+    )
+    whole = ranked.withColumns({"height": F.max("row").over(plot) + 1, "width": F.max("col").over(plot) + 1, "_n": F.count("ndvi").over(plot)})
+    return whole.where("ndvi is not null and _n = height * width").select(*CELL, *RASTER_BANDS, *SHAPE)
+
+
+def _placed_large(pixels: DataFrame) -> DataFrame:
+    """The same for plots with too many pixels for one task: positions are ranked among the distinct coordinates."""
+
     def positions(axis: str, name: str) -> DataFrame:
-        distinct = clear.select(F.col("id").alias("image_id"), axis).distinct()
+        distinct = pixels.where(F.col(axis).isNotNull()).select("image_id", axis).distinct()
         order = Window.partitionBy("image_id").orderBy(axis)
         return distinct.withColumn(name, (F.row_number().over(order) - 1).cast("bigint"))
 
     grid = (
-        values.where(F.col("ndvi").isNotNull())
+        pixels.where(F.col("ndvi").isNotNull())
         .join(positions("longitude", "row"), ["image_id", "longitude"])
         .join(positions("latitude", "col"), ["image_id", "latitude"])
         .select(*CELL, *RASTER_BANDS)
     )
-    shapes = clear.groupBy(F.col("id").alias("image_id")).agg(
+    shapes = pixels.groupBy("image_id").agg(
         F.count_distinct("longitude").alias("height"),
         F.count_distinct("latitude").alias("width"),
     )
@@ -273,7 +286,26 @@ def plot_raster(obs: DataFrame, start: str, end: str, size: tuple[int, int] = RA
         grid.groupBy("image_id").agg(F.count(F.lit(1)).alias("n")).join(shapes, "image_id")
         .where("n = height * width").drop("n")
     )
-    grid = grid.join(complete, "image_id")
+    return grid.join(complete, "image_id").select(*CELL, *RASTER_BANDS, *SHAPE)
+
+
+def plot_raster(obs: DataFrame, start: str, end: str, size: tuple[int, int] = RASTER_SIZE) -> DataFrame:
+    """One row per plot with `{band}_{x}_{y}`, scaled to [-1, 1]: medians of the pixels as an image.
+
+    Pixels are placed by the rank of their longitude and latitude in the plot; plots with
+    missing pixels are left out. Ordinary plots travel once, for the medians, the places and the image; the ids are read once more before,
+    to find the plots that are too large for that.
+    """
+    clear = obs.where(in_days(start, end)).where(clear_sky())
+    hot = hot_groups(clear, ["id"])
+    if hot is None:
+        return _image(_placed(_raster_pixels(clear.repartition("id"), False)), size)
+    hot_rows, cold_rows = split_hot(clear, ["id"], hot)
+    large = _placed_large(materialize(_raster_pixels(hot_rows, True)))
+    return _image(_placed(_raster_pixels(cold_rows.repartition("id"), False)), size).unionByName(_image(large, size))
+
+
+def _image(grid: DataFrame, size: tuple[int, int]) -> DataFrame:
     small = nearest(grid, *size, RASTER_BANDS)
     scaled = small.select(
         "image_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,6 +146,23 @@ def eval_rest(spark, sf_dir):
     return report.select(*[F.round(c, 9).alias(c) for c in ("rmse", "r2", "mae")], "n")
 
 
+def train_report(spark, sf_dir):
+    """One chain: complete rows with their key, stratified, split, trained with a category, evaluated on each part and on the rest.
+
+    `beats_mean` says whether the model explains more than the mean of the part does.
+    """
+    full = labelled(spark, sf_dir).withColumn("zone", F.concat(F.lit("z"), (F.col("label") % 4).cast("string")))
+    rows = prep.load_training(full, "cover", ["label", "zone", "guess", "w"], key="row_id").withColumn("t", logit(F.col("cover")))
+    train, test = sampling.train_test_split(sampling.stratify(rows, "label", "row_id"), "row_id")
+    model = models.train_boost(train, "t", ["guess"], weight="w", categories=["zone"], maxIter=5, maxDepth=4)
+    parts = {"train": train, "test": test, "rest": joins.rest_split(rows, train, "row_id")}
+    out = []
+    for name, part in parts.items():
+        scored = ev.back_transform(model.transform(part), "t", "prediction")
+        out.append(ev.report(scored, "w").select(F.lit(name).alias("part"), "n", (F.col("r2") > 0).alias("beats_mean")))
+    return reduce(DataFrame.unionByName, out)
+
+
 _REST = PREDICTED.format(
     f"(select * from {EVAL_SQL} where row_id not in (select row_id from {STRATIFIED} where not ({_IN_TEST})))"
 )
@@ -320,6 +339,12 @@ QUERIES = {
         " as r2, round(avg(abs(diff)), 9) as mae, count(*) as n from (select *, avg(y) over () as m"
         f" from {_REST})",
     ),
+    "train_report": (
+        train_report,
+        f"select 'train' as part, count(*) as n, true as beats_mean from {STRATIFIED} where not ({_IN_TEST})"
+        f" union all select 'test', count(*), true from {STRATIFIED} where {_IN_TEST}"
+        f" union all select 'rest', count(*), true from {EVAL_SQL} where row_id not in (select row_id from {STRATIFIED} where not ({_IN_TEST}))",
+    ),
     "ml_gbt": (ml_gbt, None),
     "ml_huber": (ml_huber, None),
     "ml_huber_split": (ml_huber_split, _HUBER_SPLIT_SQL),
