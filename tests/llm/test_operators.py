@@ -223,12 +223,8 @@ def test_line_dedup(spark, documents, prose):
         (7, "\n".join(" ".join(prose(50 + i, 12)) for i in range(40)), "en", "s"), (3, " ".join(long) + "\nown line number three here", "en", "s"),
     ]
     out = {(r["doc_id"], r["text"], r["n_removed"]) for r in lines.dedup(documents(rows), "doc_id", "text").collect()}
-    job = lines.LineDedup(documents(rows), "doc_id", "text")
-    sims = {r["line"]: r["sim"] for r in job.distinct.collect()}
     # brute force over all pairs of lines
     places = [(d is None, d or 0, i, at, line) for i, (d, t, _, _) in enumerate(rows) for at, line in enumerate((t or "").split("\n")) if len(set(normal_words(line))) >= 3 and i != 8]
-    keys = spark.createDataFrame([(n, p[4]) for n, p in enumerate(places)], "n int, line string").select("n", F.xxhash64(lines.words_of(F.col("line"))).alias("k"))
-    of = {r["n"]: r["k"] for r in keys.collect()}
 
     def edit(a, b):
         row = list(range(len(b) + 1))
@@ -244,8 +240,8 @@ def test_line_dedup(spark, documents, prose):
     for x in range(len(places)):
         for y in range(x):
             a, b = normal_words(places[x][4]), normal_words(places[y][4])
-            hamming = bin((sims[of[x]] ^ sims[of[y]]) & (1 << 64) - 1).count("1")
-            if a == b or hamming <= 3 and edit(a, b) <= max(len(a), len(b)) // 10:
+            # the rule of the docstring, whatever the SimHashes are
+            if a == b or edit(a, b) <= max(len(a), len(b)) // 10:
                 links.append((rank[x], rank[y]))
     group = groups_of(range(len(places)), links)
     gone = {(places[order[i]][2], places[order[i]][3]) for i in group if group[i] != i}
@@ -280,6 +276,37 @@ def test_every_line_within_the_edit_rule_is_found(documents, prose, n):
     assert [out[10 * i + j] for i in range(25) for j in range(4)] == [0, 1, 1, 0] * 25
 
 
+@pytest.mark.parametrize("few,signs", [(256, 50_000), (1, 50_000), (256, 3), (1, 3)])
+def test_words_of_a_pair_are_told_apart(monkeypatch, documents, few, signs):
+    """Any two different words count as different, however they are looked up and written."""
+    monkeypatch.setattr(lines, "FEW_WORDS", few)
+    monkeypatch.setattr(lines, "SIGNS", signs)
+    rows = []
+    for i in range(60):
+        words = [f"w{chr(97 + i % 26)}x{chr(97 + k)}{chr(97 + i // 26)}" for k in range(19)]
+        one, two = list(words), list(words)
+        one[3], two[3], two[11] = "other", "other", "another"
+        rows += [(10 * i + j, " ".join(w), "en", "s") for j, w in enumerate([words, one, [*two, "tail"]])]
+    out = {r["doc_id"]: r["n_removed"] for r in lines.dedup(documents(rows), "doc_id", "text").collect()}
+    # one word of 19 is within a tenth, two of 19 are not; the third has two more edits than the second allows
+    assert [out[10 * i + j] for i in range(60) for j in range(2)] == [0, 1] * 60
+    far = [(1, " ".join(f"a{chr(97 + k)}" for k in range(19)), "en", "s")]
+    far += [(2, " ".join("new" + chr(97 + k) if k in (2, 9) else f"a{chr(97 + k)}" for k in range(19)), "en", "s")]
+    assert {r["doc_id"]: r["n_removed"] for r in lines.dedup(documents(far), "doc_id", "text").collect()} == {1: 0, 2: 0}
+
+
+def test_very_long_lines(documents, prose):
+    words = prose(41, 3000)
+    near, far = list(words), list(words)
+    for k in range(250):
+        near[11 * k] = f"near{chr(97 + k % 26)}{chr(97 + k // 26)}"
+    for k in range(400):
+        far[7 * k] = f"far{chr(97 + k % 26)}{chr(97 + k // 26)}"
+    rows = [(i, " ".join(w), "en", "s") for i, w in enumerate([words, near, far])]
+    out = {r["doc_id"]: r["n_removed"] for r in lines.dedup(documents(rows), "doc_id", "text").collect()}
+    assert out == {0: 0, 1: 1, 2: 0}
+
+
 def test_simhash_bits(spark, documents, prose):
     rows = [(i, " ".join(prose(i, 5 + 7 * i)), "en", "s") for i in range(20)]
     job = lines.LineDedup(documents(rows), "doc_id", "text")
