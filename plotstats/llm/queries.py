@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotstats.llm import bands, boilerplate, centroids, decontaminate, language, licences, lines, mixing, ngram_join, quality, redirects, strata, weighting
+from plotstats.llm import pipeline as stages
 from plotstats.llm.text import remainder
 
 RULES = [
@@ -86,9 +87,7 @@ def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
+    return stages.run(spark, sf_dir)
 
 
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
