@@ -1,65 +1,5 @@
-"""From raw documents to a mix for training: language, lines, near copies, benchmark leaks, source weights.
+"""From raw documents to a mix for training: the stages of `plotstats.llm.pipeline`."""
 
-Every stage takes the documents its predecessor kept, and all but the last return the columns of `documents`.
-"""
+from plotstats.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from plotstats.llm import decontaminate, language, lines, mixing, ngram_join
-from plotstats.llm.store import handy, saved
-
-
-def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language that the labelled rows teach; null texts and texts without letters go."""
-    return language.recognised(docs, language.fit(docs, "doc_id", "text", "lang"), "text")
-
-
-def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with one occurrence of each group of like lines in all documents. A document that loses all its words goes."""
-    done = lines.LineDedup(docs, "doc_id", "text", least_exact=1).cleaned()
-    emptied = (F.col("_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    done = done.where(~F.coalesce(emptied, F.lit(False)))
-    return done.withColumn("n_chars", F.when(F.col("_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
-
-
-def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by five-word shingles at a similarity of 0.8, the document with the smallest identifier."""
-    found = ngram_join.near_copies(docs, "doc_id", "text", n=5, percent=80)
-    copies = handy(saved(found.where("component_id != doc_id").select("doc_id").distinct()))
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
-
-
-def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold no benchmark item, with or without an identifier."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    found = decontaminate.leaks(keyed, items, "_key", "text", "item_id", "text")
-    leaking = handy(saved(found.select("_key").distinct()))
-    return keyed.join(leaking, "_key", "left_anti").select(docs.columns)
-
-
-def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
-    return mixing.taken(docs, "doc_id", "text", "source")
-
-
-STAGES = [
-    ("language", known_language),
-    ("line_dedup", distinct_lines),
-    ("ngram_join", one_of_near_copies),
-    ("decontamination", without_benchmark),
-    ("mixing", mixed_sources),
-]
-
-#: No stage but the third can be said in SQL; the tests hold each against a plain version.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir))
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
