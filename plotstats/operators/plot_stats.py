@@ -73,24 +73,29 @@ def two_level_stats(
     extra: Sequence[str] = (),
     share: str | None = None,
     census: DataFrame | None = None,
+    bucketed: bool = False,
 ) -> DataFrame:
     """One row per plot (and `extra` keys) with `funs` of every band and index.
 
     Rows of an ordinary plot travel once: partitioned by plot they satisfy both
     groupings. A plot with too many rows for one task is grouped by pixel first, and
     each of its two levels is checked for skew on its own. `census` is a cheaper table
-    that holds at least as many rows of every plot, to look for large plots in.
+    that holds at least as many rows of every plot, to look for large plots in. `bucketed`
+    rows come from a table in buckets by plot and need not travel at all.
     """
 
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows if bucketed else rows.repartition("id")
+
     def levels(rows: DataFrame, check_skew: bool) -> DataFrame:
         pixels = pixel_medians(rows, bands, indices, extra, share is not None, check_skew)
         return _plot_level(pixels, bands, indices, funs, extra, share, check_skew)
 
     hot = hot_groups(obs if census is None else census, ["id"])
     if hot is None:
-        return levels(obs.repartition("id"), False)
+        return levels(placed(obs), False)
     hot_rows, cold_rows = split_hot(obs, ["id"], hot)
-    return levels(cold_rows.repartition("id"), False).unionByName(levels(hot_rows, True))
+    return levels(placed(cold_rows), False).unionByName(levels(hot_rows, True))
 
 
 # --- mergeable state -------------------------------------------------------------------
@@ -133,12 +138,15 @@ def _share(compat: bool) -> str:
 
 
 def plot_stats(
-    obs: DataFrame, start: str, end: str, bands: Sequence[str] = BANDS, compat: bool = False
+    obs: DataFrame, start: str, end: str, bands: Sequence[str] = BANDS, compat: bool = False, bucketed: bool = False
 ) -> DataFrame:
-    """Seven statistics of every band and of NDVI, and the vegetation share, for one period."""
+    """Seven statistics of every band and of NDVI, and the vegetation share, for one period.
+
+    `bucketed`: `obs` is a table in buckets by id (`sinks.write_bucketed`), whose rows need no exchange.
+    """
     period = obs.where(in_days(start, end))
     clear = period.where(clear_sky())
-    return two_level_stats(clear, bands, SEASONAL_INDICES, SEASONAL_STATS, share=_share(compat), census=period)
+    return two_level_stats(clear, bands, SEASONAL_INDICES, SEASONAL_STATS, share=_share(compat), census=period, bucketed=bucketed)
 
 
 def left_join_features(plots: DataFrame, features: DataFrame) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from plotstats.operators.observations import clean_observations
+from plotstats.operators.tables import row_key
 from plotstats.plans.statistics import SEASONAL_SQL, SEASONAL_STATS, level_sql
-from plotstats.plans.views import END, RAW_SQL, START, raw_observations
+from plotstats.plans.views import END, PLOTS_SQL, RAW_SQL, START, plots, raw_observations
 from plotstats.session import scratch_path
 from plotstats.streaming import ingest as stream
+from plotstats.streaming.fetch import fetch_points, folder_fetch
 
 ROW = ["id", "longitude", "latitude", "time", "B4", "B8", "HAS_CLOUDFLAG"]
 BANDS = ["B4", "B8"]
@@ -28,6 +33,30 @@ def incremental_ingest(spark, sf_dir):
     return spark.read.parquet(target).select(*ROW)
 
 
+def resumable_fetch(spark, sf_dir):
+    """Observations asked for point by point, in two runs: the second goes on where the first one stopped."""
+    remote = scratch_path(spark, "remote")
+    raw = raw_observations(spark, sf_dir).select(*[c for c in ROW if c != "HAS_CLOUDFLAG"], "QA10", "QA20", "QA60")
+    raw.repartition("id").write.partitionBy("id").json(remote)
+    known = scratch_path(spark, "points")
+    row_key(plots(spark, sf_dir).select(F.col("plot_id").alias("id"), "longitude", "latitude"), ["id"], "point").write.parquet(known)
+    points = spark.read.parquet(known)
+    target, log, state = (scratch_path(spark, n) for n in ("observations", "log", "state"))
+    half = points.count() // 2
+    for until in (half, None):
+        fetch_points(spark, points, folder_fetch(remote), raw.schema, target, log, state, until)
+    return spark.read.parquet(target).select(*ROW)
+
+
+def ingest_new_ids(spark, sf_dir):
+    """Of all fetched rows, those of plots that the stored table does not hold yet."""
+    fetched = clean_observations(raw_observations(spark, sf_dir).select(*NEEDED))
+    stored = scratch_path(spark, "observations")
+    known = plots(spark, sf_dir).where("land_use_category != 'forest'").select("plot_id")
+    fetched.join(known, fetched["id"] == known["plot_id"], "left_semi").write.parquet(stored)
+    return stream.ingest_new_ids(fetched, spark.read.parquet(stored)).select(*ROW)
+
+
 def incremental_features(spark, sf_dir):
     source, schema = _raw_files(spark, sf_dir, 2)
     observations, features, state = (scratch_path(spark, n) for n in ("observations", "features", "state"))
@@ -49,5 +78,10 @@ def _features_sql() -> str:
 
 QUERIES = {
     "incremental_ingest": (incremental_ingest, f"select {', '.join(ROW)} from {_CLEANED}"),
+    "resumable_fetch": (resumable_fetch, f"select {', '.join(ROW)} from {_CLEANED} where id in (select plot_id from {PLOTS_SQL})"),
+    "ingest_new_ids": (
+        ingest_new_ids,
+        f"select {', '.join(ROW)} from {_CLEANED} where id not in (select plot_id from {PLOTS_SQL} where land_use_category <> 'forest')",
+    ),
     "incremental_features": (incremental_features, _features_sql()),
 }

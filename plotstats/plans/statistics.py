@@ -11,6 +11,11 @@ from plotstats.operators.observations import utc_date
 from plotstats.operators.raster import RASTER_BANDS, plot_raster as raster_query
 from plotstats.plans.views import CLEAR_SQL, END, OBS_SQL, PLOTS_SQL, SEASONS, START, observations, plots, table
 from plotstats.schemas import BANDS, DIFF_STATS, MONTHLY_STATS, SEASONAL_STATS
+from plotstats.session import scratch_path
+from plotstats.sources.sinks import write_bucketed
+
+# Buckets of the stored tables; a task takes one.
+BUCKETS = 64
 
 
 # --- the same statistics as SQL text ---------------------------------------------------
@@ -132,6 +137,18 @@ def left_join_features(spark, sf_dir):
     return ps.left_join_features(plots(spark, sf_dir).select("plot_id", "tree_cover"), stats.drop("veg_pc"))
 
 
+def bucketed_features(spark, sf_dir):
+    """Plots and observations stored in buckets by plot: neither the statistics nor the join moves a stored row."""
+    bands = ["B4", "B8"]
+    seen = observations(spark, sf_dir).select("id", "longitude", "latitude", "time", "B4", "B5", "B8", "SCL", "MSK_CLDPRB", "MSK_SNWPRB", "HAS_CLOUDFLAG")
+    tables = []
+    for df, key in ((seen, "id"), (plots(spark, sf_dir).select("plot_id", "tree_cover"), "plot_id")):
+        path = scratch_path(spark, "buckets")
+        tables.append(write_bucketed(df, f"plotstats_{path[-32:]}", path, key, BUCKETS))
+    stats = ps.plot_stats(tables[0], START, END, bands, bucketed=True)
+    return ps.left_join_features(tables[1], stats.drop("veg_pc"))
+
+
 def season_stats(spark, sf_dir):
     return ps.season_stats(observations(spark, sf_dir), SEASONS)
 
@@ -258,6 +275,11 @@ QUERIES = {
         f"select p.plot_id, p.tree_cover, f.* exclude (id) from {PLOTS_SQL} p left join"
         f" ({level_sql(['B4', 'B8'], SEASONAL_SQL, SEASONAL_STATS)}) f on p.plot_id = f.id",
     ),
+    "bucketed_features": (
+        bucketed_features,
+        f"select p.plot_id, p.tree_cover, f.* exclude (id) from {PLOTS_SQL} p left join"
+        f" ({level_sql(['B4', 'B8'], SEASONAL_SQL, SEASONAL_STATS)}) f on p.plot_id = f.id",
+    ),
     "season_stats": (season_stats, SEASON_SQL),
     "season_diff": (
         season_diff,

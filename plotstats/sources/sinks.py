@@ -37,6 +37,20 @@ def write_bounded(df: DataFrame, path: str, rows: int = 5300, fmt: str = "csv",
     df.write.mode(mode).option("maxRecordsPerFile", rows).option("header", True).format(fmt).save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, partition_by: str | None = None) -> DataFrame:
+    """Stores the rows as a table of the catalogue in `buckets` files by hash of `key`, sorted by it, and reads it from there.
+
+    Joins and groupings by `key` of such tables with equal numbers of buckets need no exchange. Give tables that are joined the same
+    number, large enough that a bucket suits a task.
+    """
+    # one file per bucket, written by the task that holds it; with `partition_by`, one per bucket and value
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def with_wkt(df: DataFrame, lon: Column, lat: Column) -> DataFrame:
     """Adds the point geometry as well-known text, for CSV and parquet sinks."""
     return df.withColumn("geometry", wkt_point(lon, lat))

@@ -25,7 +25,7 @@ def plan(df):
 
 def test_no_python_and_no_cross_join(spark):
     for name, (function, _) in catalogue().items():
-        if name.startswith(("ml_", "sink_", "scan_", "incremental_")):
+        if name.startswith(("ml_", "sink_", "scan_", "incremental_", "resumable_")):
             continue
         text = plan(function(spark, SF))
         assert "Python" not in text, name
@@ -113,3 +113,24 @@ def test_rerun_batches_replace_their_output(spark):
     got = {r["id"]: r["n"] for r in stream.latest_features(spark, features).collect()}
     every = raw.where("id < 6").union(raw.where("id >= 4"))
     assert got == {r["id"]: r["count"] for r in every.groupBy("id").count().collect()}
+
+
+def test_bucketed_tables_need_no_exchange(spark):
+    from plotstats.plans.statistics import BUCKETS
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(catalogue()["bucketed_features"][0](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in text
+    assert f"SelectedBucketsCount: {BUCKETS} out of {BUCKETS}" in text
+
+
+def test_buckets_within_partitions(spark):
+    df = spark.createDataFrame([(i, f"r{i % 3}") for i in range(50)], "plot_id int, region string")
+    path = scratch_path(spark, "buckets")
+    back = sinks.write_bucketed(df, "regions_" + path[-32:], path, "plot_id", 4, "region")
+    assert sorted(map(tuple, back.select("plot_id", "region").collect())) == sorted(map(tuple, df.collect()))
+    assert sorted(p.rsplit("=", 1)[1] for p in glob.glob(f"{path}/region=*")) == ["r0", "r1", "r2"]
+    assert "Exchange" not in plan(back.groupBy("plot_id").count())
