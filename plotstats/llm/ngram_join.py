@@ -27,8 +27,8 @@ FIRST_BAND = 8
 SPARE_PERCENT = 40
 #: The lowest bit of a key tells those of single columns from those of blocks.
 SINGLE = np.uint64(1)
-
-
+#: Blocks of a row, the smallest, by which pairs that met before are known.
+LOW = 16
 #: Parts of the sketch of a row, of 64 bits each.
 SKETCH = [f"s{i}" for i in range(4)]
 
@@ -195,18 +195,26 @@ class NgramJoin:
     def _across(self, members: DataFrame, groups: DataFrame) -> DataFrame:
         """Pairs that agree on a block from different components. Of each block, only members outside the component of its
         head are paired with all others, since two members of one component need no link; and of these pairs, only those whose
-        sketches differ in no more bits than similar rows of their sizes do in columns."""
+        sketches differ in no more bits than similar rows of their sizes do in columns. A pair that agrees on many blocks
+        leaves the join at few of them: not at a block if its members have a smaller one in common among the first of each. The
+        smallest block that they share is never left out."""
         labelled = members.join(groups, "node", "left").select("key", "node", "top", "n", F.coalesce("component", "node").alias("label"))
-        head = labelled.where("node = top").select("key", F.col("label").alias("head"))
-        labelled = saved(labelled.join(head, "key").join(self.sets.select("node", *SKETCH), "node"))
-        minor = labelled.where("label != head").select("key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), "head", *(F.col(c).alias(f"x{c}") for c in SKETCH))
-        every = labelled.select(F.col("key").alias("_key"), F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"), *(F.col(c).alias(f"y{c}") for c in SKETCH))
+        labelled = saved(labelled)
+        ends = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max(F.when(F.col("node") == F.col("top"), F.col("label"))).alias("head"))
+        several = saved(labelled.join(ends.where("least != most").select("key", "head"), "key"))
+        # one list of a row's own blocks, as long as its text at most
+        low = several.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("key")), 1, LOW).alias("low"))
+        several = saved(several.join(low, "node").join(self.sets.select("node", *SKETCH), "node"))
+        own = ["low", *SKETCH]
+        minor = several.where("label != head").select("key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), "head", *(F.col(c).alias(f"x{c}") for c in own))
+        every = several.select(F.col("key").alias("_key"), F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"), *(F.col(c).alias(f"y{c}") for c in own))
         # a pair of two minor members comes once, from its smaller side
         once = (F.col("ly") == F.col("head")) | (F.col("x") < F.col("y"))
         near = F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * self.percent
         apart = sum((F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in SKETCH), F.lit(0))
         few = apart * (100 + self.percent) <= (F.col("nx") + F.col("ny")) * (100 - self.percent)
-        pairs = minor.join(every, (F.col("key") == F.col("_key")) & (F.col("lx") != F.col("ly")) & once & near & few)
+        early = ~F.exists("xlow", lambda k: (k < F.col("key")) & F.array_contains("ylow", k))
+        pairs = minor.join(every, (F.col("key") == F.col("_key")) & (F.col("lx") != F.col("ly")) & once & near & few & early)
         first = F.col("x") < F.col("y")
         ends = [F.when(first, F.col(p)).otherwise(F.col(q)).alias(name) for p, q, name in (("x", "y", "a"), ("y", "x", "b"), ("nx", "ny", "na"), ("ny", "nx", "nb"))]
         return pairs.select(*ends).distinct()
