@@ -126,27 +126,59 @@ def _fits(host: str, path: str) -> str:
     return "case " + " ".join(whens) + " else null end"
 
 
+_ROOT = "(?s)^(.*?://[^/?#]*)"
+
+
+def _dotless_sql(url: str) -> str:
+    path = f"regexp_extract({url}, '{PAGE_PARTS}', 2)"
+    steps = f"string_split({path}[2:], '/')"
+    taken = (
+        f"list_reduce(list_prepend('', {steps}), lambda p, s: case s when '.' then p when '..' then regexp_replace(p, '/[^/]*$', '') else p || '/' || s end)"
+        f" || case when {steps}[-1] in ('.', '..') then '/' else '' end"
+    )
+    return (
+        f"case when regexp_matches({path}, '/\\.\\.?(/|$)') then regexp_extract({url}, '{_ROOT}', 1) || {taken}"
+        f" || regexp_extract({url}, '(?s)^.*?://[^?#]*(.*)$', 1) else {url} end"
+    )
+
+
+def _resolved_sql(url: str, link: str) -> str:
+    path = f"regexp_extract({url}, '{PAGE_PARTS}', 2)"
+    return f"""case
+    when regexp_matches({link}, '^[A-Za-z][A-Za-z0-9+.-]*:') then {link}
+    when starts_with({link}, '//') then regexp_extract({url}, '(?s)^(.*?:)//', 1) || {link}
+    when starts_with({link}, '/') then regexp_extract({url}, '{_ROOT}', 1) || {link}
+    when starts_with({link}, '?') then regexp_extract({url}, '{_ROOT}', 1) || {path} || {link}
+    when starts_with({link}, '#') then regexp_extract({url}, '(?s)^([^#]*)', 1) || {link}
+    else regexp_extract({url}, '{_ROOT}', 1) || coalesce(nullif(regexp_extract({path}, '(?s)^(.*/)', 1), ''), '/') || {link} end"""
+
+
+_AND = "'(?i)&(?:amp|#0*38|#x0*26);', '&', 'g'"
+
 OP6_SQL = f"""
-with recursive tags as (
-  select url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) as tag from pages where contains(url, '://')
+with recursive shown as (
+  select url, regexp_replace(html, '(?s)<!--.*?-->', '', 'g') as html from pages where contains(url, '://')
+), based as (
+  select url, html, regexp_replace(regexp_extract(html, '(?is)<base\\b[^>]*\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1), {_AND}) as href from shown
+), rooted as (
+  select url, html, case when href <> '' then {_resolved_sql("url", "href")} else url end as base from based
+), tags as (
+  select url, {_dotless_sql("base")} as base, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) as tag from rooted
 ), targets as (
-  select url, regexp_extract(tag, '(?is)\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1) as link from tags
+  select url, base, regexp_replace(regexp_extract(tag, '(?is)\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1), {_AND}) as link from tags
   where regexp_matches(tag, '(?is)^<link\\b.*\\brel\\s*=\\s*["'']?\\s*canonical\\b')
   union all
-  select url, regexp_extract(tag, '(?is)\\burl\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1) from tags
+  select url, base, regexp_replace(regexp_extract(tag, '(?is)\\burl\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1), {_AND}) from tags
   where regexp_matches(tag, '(?is)^<meta\\b.*\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b')
+), found as (
+  select url, {_resolved_sql("base", "link")} as t from targets where link <> ''
 ), edges as (
-  select distinct url as u, case
-    when regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') then link
-    when starts_with(link, '//') then regexp_extract(url, '(?s)^(.*?:)//', 1) || link
-    when starts_with(link, '/') then regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || link
-    else regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || coalesce(nullif(regexp_extract(regexp_extract(url, '{PAGE_PARTS}', 2), '(?s)^(.*/)', 1), ''), '/') || link end as t
-  from targets where link <> ''
+  select distinct url as u, {_dotless_sql("t")} as t from found
 ), urls as (
   select distinct url as x from pages union select t from edges
 ), nodes as (
   select x, {LOWER.format(f"regexp_extract(x, '{PAGE_PARTS}', 1)")} as host, regexp_extract(x, '{PAGE_PARTS}', 2) as path,
-    regexp_extract(x, '(?s)^.*?://[^/?#]*([^#]*)', 1) as rest from urls where contains(x, '://')
+    regexp_extract({_dotless_sql("x")}, '(?s)^.*?://[^/?#]*([^#]*)', 1) as rest from urls where contains(x, '://')
 ), named as (
   select x, host || case when starts_with(rest, '/') then rest else '/' || rest end as node, {_fits("host", "path")} as rule from nodes
 ), steps as (

@@ -12,6 +12,8 @@ from plotstats.llm.store import handy, saved
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+#: The whole url up to its path, and what follows the path.
+ROOT, REST = r"(?s)^(.*?://[^/?#]*)", r"(?s)^.*?://[^?#]*(.*)$"
 
 
 @dataclass(frozen=True)
@@ -52,25 +54,55 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.greatest(found, found, *fitting)
 
 
+def dotless(url: Column) -> Column:
+    """The url with the steps `.` and `..` of its path taken; none leads above the root."""
+    path = path_of(url)
+    steps = F.split(F.substr(path, F.lit(2)), "/")
+    last = F.element_at(steps, -1)
+    taken = F.reduce(steps, F.lit(""), lambda done, s: F.when(s == ".", done).when(s == "..", F.regexp_replace(done, "/[^/]*$", "")).otherwise(F.concat(done, F.lit("/"), s)))
+    plain = F.concat(F.regexp_extract(url, ROOT, 1), taken, F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit("")), F.regexp_extract(url, REST, 1))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), plain).otherwise(url)
+
+
 def node_of(url: Column) -> Column:
-    """The page that a url names: scheme and fragment do not matter, an empty path is `/`. Null for another form."""
-    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
+    """The page that a url names: scheme, fragment and the dots of its path do not matter, an empty path is `/`. Null for another form."""
+    rest = F.regexp_extract(dotless(url), r"(?s)^.*?://[^/?#]*([^#]*)", 1)
     whole = F.concat(host_of(url), F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest)))
     return F.when(F.contains(url, F.lit("://")), F.md5(whole))
 
 
 def resolved(url: Column, link: Column) -> Column:
-    """A link of the page `url` as a whole url."""
-    root = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    """A link of the page `url` as a whole url; of a link with another scheme, like `mailto:`, what it is.
+
+    A link that is only a query or a fragment keeps the page's path, and a fragment its query too."""
+    root = F.regexp_extract(url, ROOT, 1)
     folder = F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
-    return (
-        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+    return dotless(
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(F.regexp_extract(url, r"(?s)^(.*?:)//", 1), link))
         .when(link.startswith("/"), F.concat(root, link))
+        .when(link.startswith("?"), F.concat(root, path_of(url), link))
+        .when(link.startswith("#"), F.concat(F.regexp_extract(url, r"(?s)^([^#]*)", 1), link))
         .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), link))
     )
 
 
+def seen(html: Column) -> Column:
+    """The page without its comments."""
+    return F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+
+
+def spelt(link: Column) -> Column:
+    """A link as an attribute writes it, with its references to `&` decoded."""
+    return F.regexp_replace(link, r"(?i)&(?:amp|#0*38|#x0*26);", "&")
+
+
+def base_of(url: Column, html: Column) -> Column:
+    """What the links of a page are relative to: its first `<base href>`, else the page itself."""
+    base = spelt(F.regexp_extract(html, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)", 1))
+    return F.when(base != "", resolved(url, base)).otherwise(url)
+
+
 def links_of(html: Column) -> Column:
     """Targets of canonical links and of refresh redirects in a page."""
     tags = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
@@ -82,7 +114,7 @@ def links_of(html: Column) -> Column:
         F.filter(tags, lambda t: t.rlike(r"(?is)^<meta\b.*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b")),
         lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*[\"']?\s*([^\"'\s>]+)", 1),
     )
-    return F.filter(F.concat(canonical, refresh), lambda x: x != "")
+    return F.transform(F.filter(F.concat(canonical, refresh), lambda x: x != ""), spelt)
 
 
 def judge(pages: DataFrame, rules: list[Rule], id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -91,15 +123,16 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str, url_col: str, html_c
     The longest fitting rule decides a url. A url without one takes the decision of the pages it is an alias of, by any
     number of redirects and canonical links in either direction: allowed if a rule allows one of them, else
     blocked if a rule blocks one, else allowed. A null url, or one without `://`, has no alias and no rule and is allowed;
-    null html has no links. Repeated rows get the same answer.
+    null html has no links. Links are relative to the page or its `<base href>`; those within comments do not count. Repeated rows get the same answer.
     """
     url = F.col(url_col)
     own = pages.select(F.col(id_col).alias("_id"), url.alias("_url"))
     own = own.withColumns({"_host": host_of(F.col("_url")), "_path": path_of(F.col("_url")), "_node": node_of(F.col("_url"))})
     own = own.withColumn("_rule", rule_of(F.col("_host"), F.col("_path"), rules))
 
-    links = pages.select(url.alias("u"), F.explode(links_of(F.col(html_col))).alias("link")).where(F.contains(F.col("u"), F.lit("://")))
-    links = saved(links.select("u", resolved(F.col("u"), F.col("link")).alias("t")).distinct())
+    shown = pages.select(url.alias("u"), seen(F.col(html_col)).alias("h")).where(F.contains(F.col("u"), F.lit("://")))
+    links = shown.select("u", base_of(F.col("u"), F.col("h")).alias("base"), F.explode(links_of(F.col("h"))).alias("link"))
+    links = saved(links.select("u", resolved(F.col("base"), F.col("link")).alias("t")).distinct())
     # both ends of each link, with what the rules say of them; ends that are no page count too
     ends = links.select(F.col("u").alias("x")).union(links.select(F.col("t").alias("x")))
     ends = ends.select(node_of(F.col("x")).alias("node"), rule_of(host_of(F.col("x")), path_of(F.col("x")), rules).getField("verdict").alias("v")).where("node is not null and v is not null")

@@ -353,6 +353,34 @@ def test_redirects(spark):
     assert redirects.judge(frame.where("page_id < 0"), RULES, "page_id", "url", "html").collect() == []
 
 
+LINKS = [
+    ("http://h.com/a/b", "?p=2", "http://h.com/a/b?p=2"), ("http://h.com/a/b?q=1", "?p=2", "http://h.com/a/b?p=2"), ("http://h.com", "?p=2", "http://h.com?p=2"),
+    ("http://h.com/a/?q=1#y", "#x", "http://h.com/a/?q=1#x"), ("http://h.com/a/b", "../c", "http://h.com/c"), ("http://h.com/a/b/d", "./c/.", "http://h.com/a/b/c/"),
+    ("http://h.com/a", "../../../c", "http://h.com/c"), ("http://h.com/a/b/", "..", "http://h.com/a/"), ("https://h.com/a", "//k.net/x/../y?u=/../", "https://k.net/y?u=/../"),
+    ("http://h.com/a", "c//d", "http://h.com/c//d"), ("http://h.com", "c", "http://h.com/c"), ("http://h.com/a", "mailto:x@h.com", "mailto:x@h.com"),
+    ("http://h.com/a", "HTTP://k.net/...", "HTTP://k.net/..."), ("http://h.com/?x=a/b", "/c/./d", "http://h.com/c/d"), ("http://h.com/a/b", "..c/.d", "http://h.com/a/..c/.d"),
+]
+
+
+def test_links_of_every_form(spark):
+    rows = spark.createDataFrame(LINKS, "url string, link string, want string").select("*", redirects.resolved(F.col("url"), F.col("link")).alias("got")).collect()
+    assert [(r["url"], r["link"], r["got"]) for r in rows] == [(r["url"], r["link"], r["want"]) for r in rows]
+
+
+def test_links_in_comments_with_references_and_a_base(spark):
+    bad = "http://x.com/de/1?a=1&b=2"
+    pages = [
+        (1, "http://p.net/1", f'<!-- <link rel=canonical href={bad}> -->'),
+        (2, "http://p.net/2", '<link rel=canonical href="http://x.com/de/1?a=1&amp;b=2">'),
+        (3, "http://p.net/3", '<base href="http://x.com/de/k/"><link rel=canonical href="../1?a=1&#38;b=2">'),
+        (4, "http://p.net/z/../4", ""), (5, "http://p.net/5", "<link rel=canonical href=./z/.././4>"), (6, "http://q.net/", "<link rel=canonical href=http://p.net/4><link rel=canonical href=//x.com/de/2>"),
+        (7, "http://p.net/7", "<!-- open <link rel=canonical href=http://x.com/de/1>" + " x" * 50_000), (8, "http://p.net/8", "<link rel=canonical href" + "<meta" * 1000),
+    ]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    out = {r["page_id"]: r["verdict"] for r in redirects.judge(frame, RULES, "page_id", "url", "html").collect()}
+    assert out == {1: "allow", 2: "block", 3: "block", 4: "block", 5: "block", 6: "block", 7: "block", 8: "allow"}
+
+
 # 7
 
 
