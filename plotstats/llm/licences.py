@@ -4,6 +4,10 @@ A block is a line. It meets a template when at least `threshold` of the template
 ordered by the number of blocks that have them, rarest first: a block that meets a template of n words with an overlap of
 m or more has one of the n - m + 1 first words of the template (prefix), has m words (length), and has, from the first
 shared word on, enough words left on both sides (position).
+
+Licenses with nearly the same sentences are told apart: a template that a sibling's text would meet must be met in the words
+that the sibling lacks, and of the templates that a block meets, one whose shared words are all among those of a template
+of another label, which shares more, is dropped.
 """
 
 from __future__ import annotations
@@ -75,8 +79,20 @@ def split_words(text: str) -> list[str]:
     return plain.split(" ") if plain == " ".join(plain.split()) else plain.split()
 
 
+def telling_words(templates, threshold: float) -> list[list[str]]:
+    """Of each template, the words that are not in a template of another label which holds enough of its words to meet it."""
+    sets = [(label, set(split_words(text))) for label, text in templates]
+    out = []
+    for label, words in sets:
+        others = [other for name, other in sets if name != label and len(words & other) >= threshold * len(words) - 1e-9]
+        out.append(sorted(set().union(*[words - other for other in others])))
+    return out
+
+
 def meet(docs: DataFrame, key: Column, text_col: str, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, block, template, label, containment) of every line that meets a template; `block` counts lines from 0."""
+    """(key, block, template, label, containment) of every line that meets a template; `block` counts lines from 0.
+
+    Texts with one key are one text: what they meet comes once."""
     spark = docs.sparkSession
     listed = [(i, label, w) for i, label, w in _template_words(templates)]
     vocabulary = F.array(*[F.lit(w) for w in sorted({w for _, _, w in listed})])
@@ -90,9 +106,11 @@ def meet(docs: DataFrame, key: Column, text_col: str, templates=TEMPLATES, thres
     table = table.groupBy("template", "label").agg(F.transform(ordered, lambda x: x["word"]).alias("words"))
     least = {i: max(1, math.ceil(threshold * len({w for t, _, w in listed if t == i}) - 1e-9)) for i, _, _ in listed}
     table = table.withColumn("need", F.element_at(F.create_map(*[F.lit(x) for kv in least.items() for x in kv]), F.col("template")))
+    telling = [F.array(*[F.lit(w) for w in words]).cast("array<string>") for words in telling_words(templates, threshold)]
+    table = table.withColumn("telling", F.get(F.array(*telling), F.col("template")) if telling else F.array().cast("array<string>"))
     # one row per template and word of its prefix: a list that the caller gives, a few dozen rows
     prefix = table.withColumn("prefix", F.slice("words", F.lit(1), F.size("words") - F.col("need") + 1))
-    prefix = saved(prefix.select("template", "label", "words", "need", F.posexplode("prefix").alias("place", "word")))
+    prefix = saved(prefix.select("template", "label", "words", "need", "telling", F.posexplode("prefix").alias("place", "word")))
     wanted = [r["word"] for r in prefix.select("word").distinct().collect()]
 
     near = hits.where(F.size("hits") >= min(least.values(), default=1)).where(F.arrays_overlap("hits", F.array(*[F.lit(w) for w in wanted])))
@@ -101,14 +119,22 @@ def meet(docs: DataFrame, key: Column, text_col: str, templates=TEMPLATES, thres
     shared = F.array_intersect("words", "hits")
     # the pair is kept once, at the first word that both have
     pairs = pairs.withColumn("shared", shared).where((F.element_at("shared", 1) == F.col("word")) & (F.size("shared") >= F.col("need")))
-    return pairs.select("key", "block", "template", "label", (F.size("shared") / F.size("words")).alias("containment"))
+    pairs = pairs.where(F.size(F.array_except("telling", "shared")) == 0)
+    # at most one entry per template, however many texts are equal
+    met = pairs.groupBy("key", "block").agg(F.collect_set(F.struct("template", "label", "shared", (F.size("shared") / F.size("words")).alias("containment"))).alias("met"))
+
+    def beaten(m: Column) -> Column:
+        return F.exists("met", lambda o: (o["label"] != m["label"]) & (F.size(o["shared"]) > F.size(m["shared"])) & (F.size(F.array_except(m["shared"], o["shared"])) == 0))
+
+    best = met.select("key", "block", F.explode(F.filter("met", lambda m: ~beaten(m))).alias("m"))
+    return best.select("key", "block", "m.template", "m.label", "m.containment")
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(id_col, n_words, n_base, first_word, last_word, base_labels, labels, score) for every row.
 
     base: places of the fixed phrases among the words of the whole text, which may cross lines. labels adds those of the
-    templates met by a line. score: 1 with a base phrase, else the largest containment met, else 0. A null text is empty: no
+    templates that hold for a line. score: 1 with a base phrase, else the largest containment met, else 0. A null text is empty: no
     words, no labels (empty strings), null first and last word. Repeated rows give repeated results.
     """
     key = F.xxhash64(F.col(text_col))

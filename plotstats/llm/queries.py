@@ -207,7 +207,12 @@ def _licence_sql() -> str:
         test = " and ".join(f"w[i + {k + 1}] = '{p}'" for k, p in enumerate(parts))
         places.append(f"[i for i in range(0, greatest(len(w) - {len(parts) - 1}, 0)) if {test}]")
     labels = [f"case when len(p{i}) > 0 then '{label}' end" for i, (_, label) in enumerate(licences.PHRASES)]
-    templates = ", ".join(f"({i}, '{label}', [{', '.join(repr(w) for w in sorted(set(licences.split_words(text))))}])" for i, (label, text) in enumerate(licences.TEMPLATES))
+    telling = licences.telling_words(licences.TEMPLATES, licences.THRESHOLD)
+
+    def listed(words) -> str:
+        return f"cast([{', '.join(repr(w) for w in words)}] as varchar[])"
+
+    templates = ", ".join(f"({i}, '{label}', {listed(sorted(set(licences.split_words(text))))}, {listed(telling[i])})" for i, (label, text) in enumerate(licences.TEMPLATES))
     lowered = LOWER.format("coalesce(text, '')")
     return f"""
 with texts as (
@@ -218,13 +223,17 @@ with texts as (
   select doc_id, len(w) as n, list_concat({", ".join(f"p{i}" for i in range(2))}) || p2 as p,
     list_distinct([x for x in [{", ".join(labels)}] if x is not null]) as base from found
 ), lines as (
-  select doc_id, list_distinct(regexp_extract_all({LOWER.format("line")}, '{_WORD}')) as w
+  select row_number() over () as r, doc_id, list_distinct(regexp_extract_all({LOWER.format("line")}, '{_WORD}')) as w
   from (select doc_id, unnest(string_split(text, chr(10))) as line from texts)
-), templates(template, label, words) as (
+), templates(template, label, words, telling) as (
   values {templates}
+), shared as (
+  select r, doc_id, list({{'label': label, 's': list_intersect(w, words), 'share': len(list_intersect(w, words)) / len(words)}}) as ms from lines, templates
+  where len(list_intersect(w, words)) >= ceil({licences.THRESHOLD} * len(words) - 1e-9) and len(list_intersect(w, telling)) = len(telling) group by r, doc_id
+), best as (
+  select doc_id, unnest([m for m in ms if len([o for o in ms if o.label <> m.label and len(o.s) > len(m.s) and len(list_intersect(m.s, o.s)) = len(m.s)]) = 0]) as m from shared
 ), met as (
-  select doc_id, label, len(list_intersect(w, words)) / len(words) as share from lines, templates
-  where len(list_intersect(w, words)) >= ceil({licences.THRESHOLD} * len(words) - 1e-9)
+  select doc_id, m.label as label, m.share as share from best
 ), met_by as (
   select doc_id, list(distinct label) as labels, max(share) as share from met group by doc_id
 )

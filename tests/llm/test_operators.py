@@ -458,17 +458,28 @@ def test_licences(documents):
         "Released under the MIT License.", "mit\nLicense and the APACHE license; general public license MIT-license", None, "", "nothing here",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided", "é mit Licence", "Licensed under CC BY-NC 4.0.",
         "general public general public license", "license " * 2000 + "mit license",
+        "licensed under CC BY-SA 4.0", "This work is licensed under the GNU General Public License, version 3.", "licensed under the GNU Lesser General Public License",
+        "licensed under the GNU General Public License", "licensed under CC BY 4.0 and licensed under CC BY NC 4.0", "Licensed under cc by 4.0\nlicensed under CC BY SA 4.0",
     ]
     rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(0, texts[0], "en", "s")]
     out = {r["doc_id"]: r for r in licences.scan(documents(rows), "doc_id", "text").collect()}
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     templates = [(label, set(licences.split_words(t))) for label, t in licences.TEMPLATES]
+
+    def held(line):
+        """Templates that hold for a line: (label, containment)."""
+        line, met = set(word.findall(line)), []
+        for label, t in templates:
+            rivals = [t - o for name, o in templates if name != label and len(t & o) / len(t) >= licences.THRESHOLD - 1e-12]
+            if len(t & line) / len(t) >= licences.THRESHOLD - 1e-12 and all(r <= line for r in rivals):
+                met.append((label, t & line, len(t & line) / len(t)))
+        return [(label, share) for label, s, share in met if not any(name != label and s < o for name, o, _ in met)]
+
     for i, text in enumerate(texts):
         low = "".join(c.lower() if c.isascii() else c for c in text or "")
         words = word.findall(low)
         places = [(k, label) for phrase, label in licences.PHRASES for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split()]
-        met = [(label, len(t & set(word.findall(line))) / len(t)) for line in low.split("\n") for label, t in templates]
-        met = [(label, share) for label, share in met if share >= licences.THRESHOLD - 1e-12]
+        met = [found for line in low.split("\n") for found in held(line)]
         base = {label for _, label in places}
         want = (
             len(words), len(places), min((k for k, _ in places), default=None), max((k for k, _ in places), default=None), ",".join(sorted(base)),
@@ -476,6 +487,7 @@ def test_licences(documents):
         )
         r = out[i]
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"], pytest.approx(r["score"])) == want
+    assert [out[i]["labels"] for i in range(10, 16)] == ["cc-by-sa", "gpl", "gpl,lgpl", "gpl", "cc-by-nc", "cc-by,cc-by-sa"]
     assert licences.scan(documents([]), "doc_id", "text").collect() == []
 
 
