@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotstats.operators.orderstats import group_ranks, tally
-from plotstats.operators.skew import hot_groups, join_groups, split_hot
+from plotstats.operators.skew import group_census, join_groups, placed_by, split_hot
 from plotstats.schemas import VEGETATION_CLASS
 
 
@@ -137,11 +137,12 @@ def grouped_stats(
         return df.groupBy(*keys).agg(*[STATS[f](x).alias(k) for k, (f, x) in wanted.items()])
     if not check_skew:
         return _cold_stats(df, keys, wanted)
-    hot = hot_groups(df, keys)
+    rows, hot = group_census(df, keys)
+    values = rows * len({x for _, x in wanted.values()})
     if hot is None:
-        return _cold_stats(df.repartition(*keys), keys, wanted)
+        return _cold_stats(placed_by(df, keys, values), keys, wanted)
     hot_rows, cold_rows = split_hot(df, keys, hot)
-    cold = _cold_stats(cold_rows.repartition(*keys), keys, wanted)
+    cold = _cold_stats(placed_by(cold_rows, keys, values), keys, wanted)
     return cold.unionByName(_hot_stats(hot_rows, keys, wanted, cold))
 
 

@@ -12,7 +12,7 @@ from plotstats.functions.math import round_even
 from plotstats.operators.aggregates import grouped_stats, measured, tallied_stats
 from plotstats.operators.indices import MONTHLY_INDICES, SEASONAL_INDICES
 from plotstats.operators.observations import Season, clear_sky, in_days, with_season, year_month
-from plotstats.operators.skew import hot_groups, split_hot
+from plotstats.operators.skew import group_census, placed_by, split_hot
 from plotstats.schemas import BANDS, DIFF_STATS, MONTHLY_BANDS, MONTHLY_STATS, SEASONAL_STATS, TRAINING_BANDS
 from plotstats.session import materialize
 
@@ -22,7 +22,7 @@ DIGITS = 5
 Indices = Mapping[str, tuple[Callable[..., Column], tuple[str, ...]]]
 
 
-def _level_columns(bands: Sequence[str], indices: Indices, scene_class: bool) -> tuple[list[str], list[str]]:
+def level_columns(bands: Sequence[str], indices: Indices, scene_class: bool) -> tuple[list[str], list[str]]:
     """Bands that the medians of a pixel need, and the scene class if it is wanted."""
     return list(dict.fromkeys([*bands, *[b for _, read in indices.values() for b in read]])), ["SCL"] if scene_class else []
 
@@ -45,7 +45,7 @@ def pixel_medians(
     check_skew: bool = True,
 ) -> DataFrame:
     """Median of each band per pixel (and `extra` keys), and the indices of these medians."""
-    needed, scl = _level_columns(bands, indices, scene_class)
+    needed, scl = level_columns(bands, indices, scene_class)
     rows = obs.select(*PIXEL, *extra, *needed, *scl)
     medians = grouped_stats(rows, [*PIXEL, *extra], _pixel_stats(needed, scl), check_skew)
     return _with_indices(medians, bands, indices, extra, scl)
@@ -84,14 +84,16 @@ def two_level_stats(
     rows come from a table in buckets by plot and need not travel at all.
     """
 
+    needed, scl = level_columns(bands, indices, share is not None)
+
     def placed(rows: DataFrame) -> DataFrame:
-        return rows if bucketed else rows.repartition("id")
+        return rows if bucketed else placed_by(rows, ["id"], total * len([*needed, *scl]))
 
     def levels(rows: DataFrame, check_skew: bool) -> DataFrame:
         pixels = pixel_medians(rows, bands, indices, extra, share is not None, check_skew)
         return _plot_level(pixels, bands, indices, funs, extra, share, check_skew)
 
-    hot = hot_groups(obs if census is None else census, ["id"])
+    total, hot = group_census(obs if census is None else census, ["id"])
     if hot is None:
         return levels(placed(obs), False)
     hot_rows, cold_rows = split_hot(obs, ["id"], hot)
@@ -107,7 +109,7 @@ def pixel_runs(obs: DataFrame, bands: Sequence[str], indices: Indices, scene_cla
     Two such tables are merged by adding up `n` (`merged_runs`); the statistics of the first level
     need nothing else.
     """
-    needed, scl = _level_columns(bands, indices, scene_class)
+    needed, scl = level_columns(bands, indices, scene_class)
     return merged_runs(measured(obs, PIXEL, sorted([*needed, *scl])).withColumn("n", F.lit(1).cast("bigint")))
 
 
@@ -119,18 +121,18 @@ def stats_of_runs(
     runs: DataFrame, like: DataFrame, bands: Sequence[str], indices: Indices, funs: Sequence[str], share: str | None = None
 ) -> DataFrame:
     """The statistics of `two_level_stats` from run lengths; `like` has the types of the observations."""
-    needed, scl = _level_columns(bands, indices, share is not None)
+    needed, scl = level_columns(bands, indices, share is not None)
 
     def levels(rows: DataFrame, check_skew: bool) -> DataFrame:
         medians = tallied_stats(rows, PIXEL, _pixel_stats(needed, scl), like)
         return _plot_level(_with_indices(medians, bands, indices, (), scl), bands, indices, funs, (), share, check_skew)
 
-    hot = hot_groups(runs, ["id"])
+    total, hot = group_census(runs, ["id"])
     if hot is None:
-        return levels(runs.repartition("id"), False)
+        return levels(placed_by(runs, ["id"], total), False)
     hot_rows, cold_rows = split_hot(runs, ["id"], hot)
     # a pixel's runs are sorted, which spills
-    return levels(cold_rows.repartition("id"), False).unionByName(levels(hot_rows.repartition(*PIXEL), True))
+    return levels(placed_by(cold_rows, ["id"], total), False).unionByName(levels(placed_by(hot_rows, PIXEL, total), True))
 
 
 def _share(compat: bool) -> str:

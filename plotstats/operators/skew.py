@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotstats.session import materialize
@@ -17,6 +17,10 @@ JOIN_SHARE = 1e-4
 HOT_ROWS = 500_000
 HOT_ROWS_CONF = "plotstats.hot.rows"
 
+# A task sorts about so many values of ordinary groups.
+TASK_VALUES = 1_000_000
+TASK_VALUES_CONF = "plotstats.task.values"
+
 # Largest table handed to broadcast() on the strength of a computed bound.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -26,13 +30,33 @@ def hot_groups(df: DataFrame, keys: Sequence[str], share: float = GROUP_SHARE) -
 
     One pass over the key columns with map-side counts; the driver sees a single row.
     """
+    return group_census(df, keys, share)[1]
+
+
+def group_census(df: DataFrame, keys: Sequence[str], share: float = GROUP_SHARE) -> tuple[int, DataFrame | None]:
+    """Number of rows of `df`, and its `hot_groups`, by the same pass."""
     floor = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     census = counts.agg(F.sum("_n").alias("rows"), F.max("_n").alias("top")).first()
-    limit = max(floor, share * (census["rows"] or 0))
+    rows = census["rows"] or 0
+    limit = max(floor, share * rows)
     if (census["top"] or 0) <= limit:
-        return None
-    return materialize(counts.where(F.col("_n") > limit).select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
+        return rows, None
+    return rows, materialize(counts.where(F.col("_n") > limit).select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
+
+
+def tasks_for(spark: SparkSession, values: int) -> int | None:
+    """Number of tasks for `values` values that are sorted, None if the session's number of partitions is enough."""
+    most = int(spark.conf.get(TASK_VALUES_CONF, str(TASK_VALUES)))
+    tasks = -(-values // most)
+    return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def placed_by(df: DataFrame, keys: Sequence[str], values: int) -> DataFrame:
+    """Rows partitioned by `keys`. The number of partitions grows with the number of `values` in the rows, so that no task
+    is given more as the table grows."""
+    tasks = tasks_for(df.sparkSession, values)
+    return df.repartition(*keys) if tasks is None else df.repartition(tasks, *keys)
 
 
 def _same(keys: Sequence[str], prefix: str) -> Column:
