@@ -17,19 +17,26 @@ BANDS = ["B4", "B8"]
 NEEDED = ["id", "longitude", "latitude", "time", "B4", "B5", "B8", "SCL", "MSK_CLDPRB", "MSK_SNWPRB", "QA10", "QA20", "QA60"]
 
 
+# Rows of a raw file, about; a task reads one.
+FILE_ROWS = 500_000
+BATCHES = 2
+
+
 def _raw_files(spark, sf_dir, files):
+    """Raw files, at least so many, their schema, and the files of each of BATCHES batches."""
     path = scratch_path(spark, "raw")
     df = raw_observations(spark, sf_dir).select(*NEEDED)
+    files = max(files, -(-df.count() // FILE_ROWS))
     df.repartition(files).write.parquet(path)
-    return path, df.schema
+    return path, df.schema, -(-files // BATCHES)
 
 
 def incremental_ingest(spark, sf_dir):
-    source, schema = _raw_files(spark, sf_dir, 4)
+    source, schema, per_batch = _raw_files(spark, sf_dir, 4)
     target, state = scratch_path(spark, "observations"), scratch_path(spark, "state")
-    stream.ingest(spark, source, target, state, schema, files_per_batch=2)
+    stream.ingest(spark, source, target, state, schema, files_per_batch=per_batch)
     # A second run finds nothing new.
-    stream.ingest(spark, source, target, state, schema, files_per_batch=2)
+    stream.ingest(spark, source, target, state, schema, files_per_batch=per_batch)
     return spark.read.parquet(target).select(*ROW)
 
 
@@ -58,9 +65,9 @@ def ingest_new_ids(spark, sf_dir):
 
 
 def incremental_features(spark, sf_dir):
-    source, schema = _raw_files(spark, sf_dir, 2)
+    source, schema, per_batch = _raw_files(spark, sf_dir, 2)
     observations, features, state = (scratch_path(spark, n) for n in ("observations", "features", "state"))
-    stream.refresh_plot_stats(spark, source, observations, features, state, START, END, BANDS, schema, files_per_batch=1)
+    stream.refresh_plot_stats(spark, source, observations, features, state, START, END, BANDS, schema, files_per_batch=per_batch)
     return stream.latest_features(spark, features)
 
 

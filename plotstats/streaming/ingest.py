@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from plotstats.operators.indices import SEASONAL_INDICES
 from plotstats.operators.observations import clean_observations, clear_sky, in_days
-from plotstats.operators.plot_stats import merged_runs, pixel_runs, stats_of_runs
-from plotstats.operators.skew import lookup_join
+from plotstats.operators.plot_stats import level_columns, merged_runs, pixel_runs, stats_of_runs
+from plotstats.operators.skew import lookup_join, tasks_for
 from plotstats.schemas import RAW_OBSERVATIONS, SEASONAL_STATS
 from plotstats.session import folders, remove
 
@@ -144,6 +144,8 @@ def refresh_plot_stats(
     the same older version and replaces its own output. Versions that no batch can need any more are deleted.
     """
     runs_state = f"{state}/runs"
+    needed, scl = level_columns(bands, SEASONAL_INDICES, True)
+    measures = [*needed, *scl]
 
     def on_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
@@ -152,6 +154,10 @@ def refresh_plot_stats(
         cleaned.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(own_rows)
         own = session.read.schema(cleaned.schema).parquet(own_rows)
         clear = own.where(in_days(start, end) & clear_sky())
+        # this session is the query's own
+        tasks = tasks_for(session, own.count() * len(measures))
+        if tasks:
+            session.conf.set("spark.sql.shuffle.partitions", tasks)
         delta = pixel_runs(clear, bands, SEASONAL_INDICES, scene_class=True)
         # At most `buckets` numbers.
         touched = sorted(r[0] for r in clear.select("bucket").distinct().collect())

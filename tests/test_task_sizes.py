@@ -8,6 +8,7 @@ from plotstats.operators.aggregates import grouped_stats
 from plotstats.operators.plot_stats import monthly_min_max_med, monthly_stats, pixel_runs, plot_stats, stats_of_runs
 from plotstats.operators.skew import placed_by, tasks_for
 from plotstats.operators.indices import SEASONAL_INDICES
+from plotstats.plans import incremental
 from plotstats.schemas import SEASONAL_STATS
 
 BANDS = ["B4", "B5", "B8"]
@@ -63,3 +64,13 @@ def test_more_tasks_give_the_same_statistics(spark):
     finally:
         spark.conf.unset("plotstats.task.values")
     assert one == many and len(one) == 40
+
+
+def test_raw_files_grow_with_the_rows_and_batches_do_not(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "raw_observations", lambda spark, sf_dir: observations(spark).withColumns({c: F.lit(0) for c in ("QA10", "QA20", "QA60")}))
+    path, schema, per_batch = incremental._raw_files(spark, "", 4)
+    assert per_batch == 2
+    monkeypatch.setattr(incremental, "FILE_ROWS", 100)
+    path, schema, per_batch = incremental._raw_files(spark, "", 4)
+    stored = spark.read.schema(schema).parquet(path)
+    assert len(stored.inputFiles()) == 6 and per_batch == 3 and stored.count() == 600
