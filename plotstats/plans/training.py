@@ -12,7 +12,7 @@ from plotstats.operators import evaluate as ev
 from plotstats.operators import boosting, joins, models, prep, sampling
 from plotstats.operators.tables import drop_nulls
 from plotstats.plans.views import EVAL_SQL, PLOTS_SQL, labelled, plots, table
-from plotstats.session import scratch_path
+from plotstats.session import materialize, scratch_path
 
 _HASH = "cast('0x' || substr(md5(concat({}, '-42')), 1, {}) as bigint)"
 _IN_TEST = f"{_HASH.format('row_id', 8)} % 1000 < 200"
@@ -171,12 +171,15 @@ _ALL = PREDICTED.format(EVAL_SQL)
 
 # --- models ----------------------------------------------------------------------------
 
+# Rows of a partition of the training rows, about.
+MODEL_ROWS = 500_000
 FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 
 
 def _model_rows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    lines = table(spark, sf_dir, "lineitem")
     df = drop_nulls(
-        table(spark, sf_dir, "lineitem").selectExpr(
+        lines.selectExpr(
             "concat(l_orderkey, '-', l_partkey, '-', l_suppkey, '-', l_linenumber) as row_id",
             "least((l_quantity + l_discount * 100 + l_extendedprice / 10000) / 70, 0.95D) as tree_cover",
             "case when l_quantity < 18 then 'barren' when l_quantity < 35 then 'grassland' else 'forest' end as land_use",
@@ -186,13 +189,15 @@ def _model_rows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
             "l_tax",
         )
     ).withColumn("t", logit(F.col("tree_cover")))
-    # Trees pass over the rows many times; few input files must not leave cores idle.
-    spread = df.repartition(spark.sparkContext.defaultParallelism, "row_id")
+    # Trees pass over the rows many times; few input files must not leave cores idle, and no task takes more as the table grows.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-lines.count() // MODEL_ROWS))
+    spread = df.repartition(tasks, "row_id")
     return sampling.train_test_split(spread, "row_id")
 
 
 def _report(model, test: DataFrame, label: str, transformed: bool) -> DataFrame:
-    scored = ev.back_transform(model.transform(test), label, "prediction", transformed)
+    # the report reads the scores twice
+    scored = materialize(ev.back_transform(model.transform(test).select(label, "prediction"), label, "prediction", transformed))
     return ev.report(scored).select("n", *[F.round(c, 4).alias(c) for c in ("rmse", "r2", "mae")])
 
 

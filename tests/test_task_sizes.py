@@ -8,7 +8,7 @@ from plotstats.operators.aggregates import grouped_stats
 from plotstats.operators.plot_stats import monthly_min_max_med, monthly_stats, pixel_runs, plot_stats, stats_of_runs
 from plotstats.operators.skew import placed_by, tasks_for
 from plotstats.operators.indices import SEASONAL_INDICES
-from plotstats.plans import incremental
+from plotstats.plans import incremental, training
 from plotstats.schemas import SEASONAL_STATS
 
 BANDS = ["B4", "B5", "B8"]
@@ -74,3 +74,14 @@ def test_raw_files_grow_with_the_rows_and_batches_do_not(spark, monkeypatch):
     path, schema, per_batch = incremental._raw_files(spark, "", 4)
     stored = spark.read.schema(schema).parquet(path)
     assert len(stored.inputFiles()) == 6 and per_batch == 3 and stored.count() == 600
+
+
+def test_training_partitions_grow_with_the_rows(spark, monkeypatch, tmp_path):
+    spark.range(300).selectExpr(
+        "id as l_orderkey", "id as l_partkey", "id as l_suppkey", "cast(id % 7 as int) as l_linenumber", "cast(id % 50 as double) as l_quantity",
+        "0.1D as l_discount", "0.2D as l_tax", "cast(id as double) as l_extendedprice",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(training, "MODEL_ROWS", 10)
+    train, test = training._model_rows(spark, str(tmp_path))
+    assert train.rdd.getNumPartitions() == 30
+    assert train.count() + test.count() == 300
