@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotstats.session import materialize, remove, scratch_path
+from plotstats.session import remove, scratch_path
 
 # Trees that are added up in one expression when a model is applied.
 TOGETHER = 8
@@ -245,6 +245,25 @@ def _binned(tree: Split, ends: list[list[float]]) -> Column:
     return F.when(F.col(f"x{tree.feature}") <= bin_, _binned(tree.left, ends)).otherwise(_binned(tree.right, ends))
 
 
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The table, stored by column, as every level of a tree reads it again; and its path."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _binned_table(df: DataFrame, label: str, features: Sequence[str], weight: str | None, bins: int) -> tuple[DataFrame, str, list[list[float]]]:
+    """The written `binned_rows`, their path and the ends of the bins; `df` is computed once."""
+    own = list(dict.fromkeys([label, *features, *([weight] if weight else [])]))
+    raw, raw_path = _written(df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(own)]), "numbers")
+    at = {c: f"c{i}" for i, c in enumerate(own)}
+    inputs = [at[c] for c in features]
+    ends = bin_ends(raw, inputs, bins)
+    rows, path = _written(binned_rows(raw, at[label], inputs, at[weight] if weight else None, ends), "rows")
+    remove(df.sparkSession, raw_path)
+    return rows, path, ends
+
+
 def binned_rows(df: DataFrame, label: str, features: Sequence[str], weight: str | None, ends: list[list[float]]) -> DataFrame:
     """y, w and the bin number x0, x1, ... of each feature; a missing value is in the first bin. Rows without label or weight are left out."""
 
@@ -281,13 +300,12 @@ def train_huber(
 ) -> Model:
     """Boosted trees on the Huber loss. `drop_rate=0` gives plain boosting; the choice of dropped trees repeats with `seed`."""
     features = list(features)
-    ends = bin_ends(train, features, bins)
-    rows = materialize(binned_rows(train, label, features, weight, ends))
+    rows, path, ends = _binned_table(train, label, features, weight, bins)
     start = rows.agg((F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("base")).first()["base"]
     model = Model(features, float(start) if start is not None else 0.0)
     if start is None:
         return model
-    spark, draw, path = train.sparkSession, random.Random(seed), None
+    spark, draw = train.sparkSession, random.Random(seed)
     rows = rows.withColumn("s", F.lit(model.base))
     for number in range(trees):
         dropped = []
@@ -309,19 +327,16 @@ def train_huber(
         model.scales.append(scale)
         if number + 1 < trees:
             # each level of the next tree reads the scores, so they are computed once
-            older, path = path, scratch_path(spark, "scores")
-            rows.write.parquet(path)
-            rows = spark.read.schema(rows.schema).parquet(path)
-            if older:
-                remove(spark, older)
+            older = path
+            rows, path = _written(rows, "scores")
+            remove(spark, older)
     return model
 
 
 def first_split(train: DataFrame, label: str, features: Sequence[str], weight: str | None = None, delta: float = 0.9, min_rows: int = 50, bins: int = 255) -> DataFrame:
     """The best split of the first tree by each feature: feature, value, gain."""
     features = list(features)
-    ends = bin_ends(train, features, bins)
-    rows = materialize(binned_rows(train, label, features, weight, ends))
+    rows, _, ends = _binned_table(train, label, features, weight, bins)
     base = rows.agg(F.sum(F.col("w") * F.col("y")) / F.sum("w")).first()[0]
     sums = _sums(rows, F.lit(0), _gradient(F.lit(base), delta), ends).get(0, {})
     found = [(i, _best({i: t}, ends, min_rows)[0]) for i, t in sorted(sums.items())]

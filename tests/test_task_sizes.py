@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from plotstats.operators import boosting
 from plotstats.operators.aggregates import grouped_stats
 from plotstats.operators.plot_stats import monthly_min_max_med, monthly_stats, pixel_runs, plot_stats, stats_of_runs
 from plotstats.operators.skew import placed_by, tasks_for
@@ -85,3 +86,18 @@ def test_training_partitions_grow_with_the_rows(spark, monkeypatch, tmp_path):
     train, test = training._model_rows(spark, str(tmp_path))
     assert train.rdd.getNumPartitions() == 30
     assert train.count() + test.count() == 300
+
+
+def test_boosting_computes_its_rows_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    df = spark.range(400).selectExpr("cast(id % 20 as double) as `a b`", "cast(id % 20 * 2 as double) as y", "1.0D as w").mapInPandas(seen, "`a b` double, y double, w double")
+    model = boosting.train_huber(df, "y", ["a b"], "w", trees=2, min_rows=5)
+    assert reads.value == 400
+    assert model.features == ["a b"] and len(model.trees) == 2
+    assert boosting.first_split(df, "y", ["a b"], min_rows=5).first()["feature"] == "a b"
