@@ -44,7 +44,9 @@ def resumable_fetch(spark, sf_dir):
     """Observations asked for point by point, in two runs: the second goes on where the first one stopped."""
     remote = scratch_path(spark, "remote")
     raw = raw_observations(spark, sf_dir).select(*[c for c in ROW if c != "HAS_CLOUDFLAG"], "QA10", "QA20", "QA60")
-    raw.repartition("id").write.partitionBy("id").json(remote)
+    # a folder per point: each task moves its own into place, not the driver all of them
+    stored = raw.repartition("id").write.partitionBy("id").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    stored.json(remote)
     known = scratch_path(spark, "points")
     row_key(plots(spark, sf_dir).select(F.col("plot_id").alias("id"), "longitude", "latitude"), ["id"], "point").write.parquet(known)
     points = spark.read.parquet(known)

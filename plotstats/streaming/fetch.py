@@ -6,17 +6,19 @@ import json
 import time
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from plotstats.operators.observations import clean_observations
 from plotstats.session import folders, remove
 
-#: Points of a batch.
+#: Points of a batch, unless the points would take more than MOST_BATCHES of them: a batch has its cost whatever it holds.
 CHUNK = 1000
+MOST_BATCHES = 32
 #: Requests for one point before it counts as failed.
 ATTEMPTS = 10
 FETCHED, TOO_LARGE, FAILED = "fetched", "too large", "failed"
@@ -94,10 +96,10 @@ def folder_fetch(folder: str) -> Fetch:
     return fetch
 
 
-def _asked(fetch: Fetch, columns: list[str], attempts: int, wait: float):
+def _asked(fetch: Fetch, columns: list[str], answer: T.StructType, attempts: int, wait: float):
     """Asks for each point, again after `wait` seconds and twice as long each time, and gives rows of `columns` and one row of its state."""
 
-    def ask(point: dict) -> Iterator[dict]:
+    def ask(point: dict) -> list[dict]:
         tried, rows, state, fault = 0, [], FAILED, None
         while state == FAILED and tried < attempts:
             if tried:
@@ -109,16 +111,18 @@ def _asked(fetch: Fetch, columns: list[str], attempts: int, wait: float):
                 state, fault = TOO_LARGE, str(no)
             except Exception as no:  # whatever the remote source may raise
                 fault = f"{type(no).__name__}: {no}"
-        for row in rows:
-            yield {"point": point["point"], "id": point["id"], **{c: row.get(c) for c in columns}}
-        yield {"point": point["point"], "id": point["id"], "state": state, "attempts": tried, "rows": len(rows), "fault": fault}
+        return [*rows, {"state": state, "attempts": tried, "rows": len(rows), "fault": fault}]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head = ["point", "id", *columns, "state", "attempts", "rows", "fault"]
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = to_arrow_schema(answer)
+        for batch in batches:
             # the rows of one point at a time
-            for point in frame.to_dict("records"):
-                yield pd.DataFrame(list(ask(point)), columns=head, dtype=object)
+            for point in batch.to_pylist():
+                rows, state = (part := ask(point))[:-1], part[-1]
+                values = {c: [*[row.get(c) for row in rows], None] for c in columns}
+                values |= {c: [*[None] * len(rows), state[c]] for c in state}
+                values |= {c: [point[c]] * len(part) for c in ("point", "id")}
+                yield pa.RecordBatch.from_arrays([pa.array(values[k.name], k.type, from_pandas=True) for k in kinds], schema=kinds)
 
     return run
 
@@ -139,7 +143,7 @@ def fetch_points(
     log: str,
     state: str,
     until: int | None = None,
-    chunk: int = CHUNK,
+    chunk: int | None = None,
     attempts: int = ATTEMPTS,
     wait: float = 1.0,
     tasks: int = 8,
@@ -147,8 +151,8 @@ def fetch_points(
     """Fetches the observations of every point and stores them cleaned, going on where an earlier run stopped.
 
     `points` has the columns `point` (0, 1, 2, ... without gaps) and `id`, and what `fetch` needs; `fetch` gives the
-    raw rows of one point as dictionaries. The run ends before the point `until`. Points are taken `chunk` at a time, by `tasks`
-    tasks. The answers of a batch are stored before anything is derived from them, so a batch that is run again asks
+    raw rows of one point as dictionaries. The run ends before the point `until`. Points are taken `chunk` at a time, by default CHUNK or, of very many points, a share of
+    all, by `tasks` tasks, each of which holds the answer for one point. The answers of a batch are stored before anything is derived from them, so a batch that is run again asks
     only for the points that are missing, and its observations replace what the earlier attempt stored: no point is stored
     twice. A point whose answer is too large is noted in `log` and left out. If a point fails
     `attempts` times, the others of its batch are stored, and the run ends with `FetchFailed`; the next
@@ -160,6 +164,7 @@ def fetch_points(
     known = points.select(*dict.fromkeys(["point", "id", *points.columns]))
     total = points.agg(F.max("point")).first()[0]
     total = 0 if total is None else total + 1
+    chunk = chunk or max(CHUNK, -(-total // MOST_BATCHES))
     total = total if until is None else min(until, total)
 
     def stored(number: int) -> list[str]:
@@ -177,7 +182,7 @@ def fetch_points(
             done = session.read.schema(answer).parquet(*before).where(F.col("state").isin(FETCHED, TOO_LARGE))
             wanted = wanted.join(done.select("point"), "point", "left_anti")
         path = f"{state}/answers/batch={number}/try={1 + max([int(p.rsplit('=', 1)[1]) for p in before], default=0)}"
-        asked = wanted.repartition(tasks, "point").mapInPandas(_asked(fetch, columns, attempts, wait), answer)
+        asked = wanted.repartition(tasks, "point").mapInArrow(_asked(fetch, columns, answer, attempts, wait), answer)
         asked.write.mode("overwrite").parquet(path)
 
         answers = session.read.schema(answer).parquet(*stored(number))

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from plotstats.operators import boosting
 from plotstats.operators.aggregates import grouped_stats
@@ -11,6 +12,7 @@ from plotstats.operators.skew import placed_by, tasks_for
 from plotstats.operators.indices import SEASONAL_INDICES
 from plotstats.plans import incremental, training
 from plotstats.schemas import SEASONAL_STATS
+from plotstats.streaming import fetch
 
 BANDS = ["B4", "B5", "B8"]
 
@@ -101,3 +103,20 @@ def test_boosting_computes_its_rows_once(spark, tmp_path):
     assert reads.value == 400
     assert model.features == ["a b"] and len(model.trees) == 2
     assert boosting.first_split(df, "y", ["a b"], min_rows=5).first()["feature"] == "a b"
+
+
+def test_very_many_points_take_a_bounded_number_of_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fetch, "CHUNK", 2)
+    monkeypatch.setattr(fetch, "MOST_BATCHES", 3)
+    points = spark.range(30).selectExpr("id as point", "id + 100 as id")
+    raw = observations(spark).select("id", "longitude", "latitude", "time", "B4").withColumns({c: F.lit(0).cast("bigint") for c in ("QA10", "QA20", "QA60")})
+
+    def answer(point):
+        nan = float("nan")
+        return [{"longitude": 1, "latitude": 2.5, "time": 1000, "B4": 3.0, "QA10": 0, "QA60": nan}, {"longitude": None, "latitude": 2.5}]
+
+    target, log, state = (f"{tmp_path}/{n}" for n in ("observations", "log", "state"))
+    fetch.fetch_points(spark, points, answer, raw.schema, target, log, state, tasks=2)
+    assert spark.read.parquet(log).select("batch").distinct().count() == 3
+    rows = spark.read.parquet(target).collect()
+    assert len(rows) == 60 and {r["longitude"] for r in rows} == {1.0, None} and {r["B4"] for r in rows} == {3, None}
