@@ -1,5 +1,5 @@
 """From raw documents to a mix for training: the stages of `plotstats.llm.pipeline`."""
 
-from plotstats.llm.pipeline import ORACLE_SQL, STAGES, run
+from plotstats.llm.pipeline import ORACLE_SQL, STAGES, run, without_benchmark
 
-__all__ = ["ORACLE_SQL", "STAGES", "run"]
+__all__ = ["ORACLE_SQL", "STAGES", "run", "without_benchmark"]
