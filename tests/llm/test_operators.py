@@ -164,6 +164,68 @@ def test_lm_without_training_rows(documents):
     assert out[0]["score"] < 0 and weighting.score(documents([]), F.lit(True), "doc_id", "text").collect() == []
 
 
+def plain_context_tree(taught, text):
+    """log10 probability of a text by a tree of all contexts of 0 to CONTEXT bytes, node by node and bit by bit."""
+    pad = b"\xff" * weighting.CONTEXT
+    spell = lambda t: b"".join(w + b" " for w in t.encode().lower().split()) + b"\xff"
+    steps = lambda t: [((pad + t)[i : i + weighting.CONTEXT], b) for i, b in enumerate(t)]
+    count = Counter((before[weighting.CONTEXT - d :], 1 << k | b >> 8 - k) for t in taught for before, b in steps(spell(t)) for d in range(weighting.CONTEXT + 1) for k in range(9))
+    children, heads = defaultdict(set), defaultdict(set)
+    for context, head in count:
+        heads[context].add(head)
+        if context:
+            children[context[1:]].add(context)
+
+    def estimate(context):
+        out = 0.0
+        for head in heads[context]:
+            if head < 256:
+                a, b = count[context, 2 * head], count[context, 2 * head + 1]
+                out += math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+        return out
+
+    kept = {}
+
+    def weighted(context):
+        if context not in kept:
+            own = estimate(context)
+            below = sum(weighted(c) for c in children[context])
+            both = own if len(context) == weighting.CONTEXT else max(own, below) + math.log1p(math.exp(-abs(own - below))) - math.log(2)
+            kept[context] = both, math.exp(own - both) / (1 if len(context) == weighting.CONTEXT else 2)
+        return kept[context][0]
+
+    def p(before, b, d=0):
+        context = before[weighting.CONTEXT - d :]
+        own = math.prod((count[context, 1 << k + 1 | b >> 7 - k] + 0.5) / (count[context, 1 << k | b >> 8 - k] + 1) for k in range(8))
+        weighted(context)
+        share = kept[context][1]
+        return own if d == weighting.CONTEXT else share * own + (1 - share) * p(before, b, d + 1)
+
+    return sum(math.log10(p(before, b)) for before, b in steps(spell(text)))
+
+
+def test_scores_are_those_of_a_plain_context_tree(monkeypatch, documents, prose):
+    """Real bytes, contexts across blanks, and every context has a node, however rare."""
+    monkeypatch.setattr(weighting, "BATCH_BYTES", 1500)
+    monkeypatch.setattr(weighting, "WINDOW", 100)
+    texts = [" ".join(prose(i % 9, 30)) for i in range(12)] + ["é Ü 長い行 X", "", "a b", "b a", "a  B\n", "b a b a"]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(18, None, "en", "s"), (None, "b a", "en", "s")]
+    learn = F.col("doc_id") % 3 != 1
+    taught = [t or "" for d, t, _, _ in rows if d is not None and d % 3 != 1]
+    out = weighting.score(documents(rows), learn, "doc_id", "text").collect()
+    assert len(out) == len(rows)
+    want = {d: plain_context_tree(taught, t or "") for d, t, _, _ in rows}
+    for r in out:
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-5)
+
+
+def test_the_order_of_words_counts_and_rare_contexts_are_kept(documents, prose):
+    rows = [(i, " ".join(prose(i, 60)), "en", "s") for i in range(300)] + [(1000, "qzx jvw qzx jvw", "en", "s")]
+    asked = [(2000, "qzx jvw", "en", "s"), (2001, "jvw qzx", "en", "s"), (2002, "qjx zvw", "en", "s")]
+    out = {r["doc_id"]: r["score"] for r in weighting.score(documents(rows + asked), F.col("doc_id") < 2000, "doc_id", "text").collect()}
+    assert out[2000] > out[2001] > out[2002]
+
+
 def test_estimate_is_the_product_of_its_steps():
     p, zeros, ones = 1.0, 0, 0
     for bit in (1, 0, 1, 1, 0, 1):
