@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from plotstats.llm import bands, decontaminate, graph, language, licences, lines, mixing, ngram_join, quality, redirects, weighting
 from plotstats.llm.queries import RULES
+from plotstats.llm.store import saved
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -381,6 +383,45 @@ def test_simhash_bits(spark, documents, prose):
         assert sims[d] == want
 
 
+def test_marks_tell_long_unlike_lines_apart(spark, documents, prose):
+    """One long for a mark let about half of such pairs pass, and each carried the words of its lines through a shuffle."""
+    far = [(i, " ".join(prose(700 + i, 170)), "en", "s") for i in range(20)]
+    line = far[0][1].split()
+    near = (20, " ".join([*line[:80], "other", *line[81:150], "another", *line[150:]]), "en", "s")
+    job = lines.LineDedup(documents([*far, near]), "doc_id", "text")
+    own = job.distinct.select(F.col("first.id").alias("i"), "n", "mark")
+    pairs = own.toDF("a", "na", "ma").join(own.toDF("b", "nb", "mb"), F.col("a") < F.col("b")).where(lines.like_marks("ma", "mb", "na", "nb"))
+    assert [(r["a"], r["b"]) for r in pairs.collect()] == [(0, 20)]
+
+
+def test_lines_meet_whatever_part_their_keys_are_in(monkeypatch, documents, prose):
+    monkeypatch.setattr(lines, "PARTS", 5)
+    rows = []
+    for i in range(30):
+        words = prose(800 + i, 12)
+        rows += [(2 * i, " ".join(words), "en", "s"), (2 * i + 1, " ".join([*words[: i % 12], "other", *words[i % 12 + 1 :]]), "en", "s")]
+    out = {r["doc_id"]: r["n_removed"] for r in lines.dedup(documents(rows), "doc_id", "text").collect()}
+    assert out == {i: i % 2 for i in range(60)}
+
+
+def test_shuffles_of_written_tables_leave_the_disk(spark):
+    """Files of a write's shuffles stayed until the driver happened to collect its garbage."""
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in found.split("\n") if "shuffle_" in f}
+
+    before = files()
+    out = saved(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    # the table itself and other statements are as they were
+    assert out.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
+
+
 def test_keys_of_near_simhashes_meet(spark):
     near = spark.range(200).select(F.xxhash64("id").bitwiseAND(F.lit((1 << 63) - 1)).alias("x"), F.xxhash64("id", F.lit(1)).alias("r"))
     flip = [F.expr(f"shiftleft(1L, cast(pmod(shiftright(r, {8 * i}), 63) as int))") for i in range(3)]
