@@ -1,6 +1,7 @@
 """Each operator against a plain version of itself, with nulls, empty texts, repeated rows, ties and empty tables."""
 
 import math
+import os
 import re
 import time
 import zlib
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from plotstats.llm import bands, decontaminate, graph, language, licences, lines, mixing, ngram_join, quality, redirects, weighting
 from plotstats.llm.queries import RULES
 from plotstats.llm.store import saved
+from plotstats.session import shared_dir
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -404,6 +406,18 @@ def test_lines_meet_whatever_part_their_keys_are_in(monkeypatch, documents, pros
     assert out == {i: i % 2 for i in range(60)}
 
 
+def test_lm_writes_little(spark, documents, prose):
+    """The word table stayed on disk to the end, and answers took four bytes a key."""
+    p = np.repeat(np.array([0.5, 0.25, 0.9, 1e-6], "<f4"), 500)
+    assert len(weighting.answer(p)) < len(p) and (weighting.answered(weighting.answer(p)) == p).all()
+    assert len(weighting.answered(weighting.answer(p[:0]))) == 0
+    shared = shared_dir(spark)
+    before = set(os.listdir(shared))
+    out = weighting.score(documents([(i, " ".join(prose(i, 20)), "en", "s") for i in range(5)]), F.lit(True), "doc_id", "text")
+    assert len(set(os.listdir(shared)) - before) == 1
+    assert out.count() == 5
+
+
 def test_shuffles_of_written_tables_leave_the_disk(spark):
     """Files of a write's shuffles stayed until the driver happened to collect its garbage."""
 
