@@ -416,6 +416,36 @@ def test_marks_tell_long_unlike_lines_apart(spark, documents, prose):
     assert [(r["a"], r["b"]) for r in pairs.collect()] == [(0, 20)]
 
 
+def test_keys_are_runs_of_long_words_and_like_lines_share_some(spark, prose):
+    """Keys were chosen by their hash alone, so with more text more and more unlike lines shared one."""
+    rows = []
+    for i in range(40):
+        words = [w if k % 3 else "de" for k, w in enumerate(prose(500 + i, 9 + 3 * i))]
+        changed = list(words)
+        for k in range(len(words) // 10):
+            changed[(7 * i + 10 * k) % len(words)] = f"other{k}"
+        rows += [(i, words), (i, changed)]
+    cut = spark.createDataFrame(rows, "i int, words array<string>").withColumn("s", F.size("words")).withColumn("ranks", lines.ranked(F.col("words")))
+    found = defaultdict(list)
+    for r in cut.select("i", "s", lines.gram_keys("ranks", "s", "s").alias("keys"), "ranks").collect():
+        assert len(r["keys"]) == min(r["s"] // 9 * lines.GRAM + lines.SHARED, r["s"] - lines.GRAM + 1)
+        found[r["i"]].append(set(r["keys"]))
+    assert all(len(a & b) >= lines.SHARED for a, b in found.values())
+    short = spark.createDataFrame([(["de", "la", "en"], 0)], "words array<string>, n int").select(lines.ranked(F.col("words")).alias("r")).first()["r"]
+    long = spark.createDataFrame([(["responsibilities"],)], "words array<string>").select(lines.ranked(F.col("words")).alias("r")).first()["r"]
+    assert long[0] < min(short) and long[0] < 1 << 48
+
+
+def test_marks_count_a_word_more_or_less_once(spark):
+    """Two words changed and one less passed for two edits."""
+    def mark(*bits):
+        return tuple(sum(1 << b for b in bits) if i == 0 else 0 for i in range(lines.MARKS))
+    schema = "ma struct<m0: long, m1: long, m2: long, m3: long>, mb struct<m0: long, m1: long, m2: long, m3: long>, na int, nb int"
+    rows = [(mark(1, 2), mark(3, 4), 20, 20), (mark(1, 2), mark(3), 20, 19), (mark(1, 2), mark(3, 4), 20, 19), (mark(1, 2), mark(), 20, 18), (mark(1, 2), mark(3), 20, 18)]
+    out = spark.createDataFrame(rows, schema).select(lines.like_marks("ma", "mb", "na", "nb").alias("like")).collect()
+    assert [r["like"] for r in out] == [True, True, False, True, False]
+
+
 def test_lines_meet_whatever_part_their_keys_are_in(monkeypatch, documents, prose):
     monkeypatch.setattr(lines, "PARTS", 5)
     rows = []
