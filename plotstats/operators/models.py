@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest
+from pyspark.ml.classification import GBTClassifier, OneVsRest, OneVsRestModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from plotstats.operators.cells import Cells, Growth, spark_model
 from plotstats.operators.prep import category_stages
 
+# Parameters that trees on cells know; with others, categories or weights Spark trains on the rows.
+TREE_PARAMS = {"maxDepth", "minInstancesPerNode", "minInfoGain", "maxBins"}
+BOOST_PARAMS = TREE_PARAMS | {"maxIter", "stepSize", "lossType"}
+
 
 def _inputs(cols: Sequence[str], categories: Sequence[str] = ()) -> list:
     """Stages that gather the features: numbers as they are, categories as sparse vectors."""
@@ -22,6 +29,24 @@ def _inputs(cols: Sequence[str], categories: Sequence[str] = ()) -> list:
     return [*category_stages(categories), VectorAssembler(inputCols=[*cols, *vectors], outputCol="features", handleInvalid="keep")]
 
 
+def _cells(estimator, params, known: set[str], train: DataFrame, label: str, cols: Sequence[str], parts: int = 1) -> Cells | None:
+    """The rows by cell, if an estimator with these parameters can be trained on them."""
+    numbers = all(isinstance(train.schema[c].dataType, (T.NumericType, T.BooleanType)) for c in (*cols, label))
+    if not (set(params) <= known and numbers and cols):
+        return None
+    # Spark checks the values
+    estimator._transfer_params_to_java()
+    return Cells.of(train, label, cols, estimator.getMaxBins(), parts)
+
+
+def _growth(trees, **more) -> Growth:
+    return Growth(trees.getMaxDepth(), trees.getMinInstancesPerNode(), trees.getMinInfoGain(), **more)
+
+
+def _boosting(booster: GBTRegressor, without: int | None = None) -> dict:
+    return {"growth": _growth(booster), "trees": booster.getMaxIter(), "rate": booster.getStepSize(), "without": without}
+
+
 def gbt_regressor(label: str, weight: str | None = None, **params) -> GBTRegressor:
     """Boosted trees on the absolute error. Defaults follow the usual configuration at small depth."""
     settings = {"lossType": "absolute", "maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "minInstancesPerNode": 50}
@@ -46,7 +71,18 @@ def train_classifier(train: DataFrame, label: str, cols: Sequence[str], categori
     booster = GBTClassifier(featuresCol="features", seed=42, **settings)
     index = StringIndexer(inputCol=label, outputCol="label", handleInvalid="error", stringOrderType="alphabetAsc")
     versus = OneVsRest(classifier=booster, featuresCol="features", labelCol="label")
-    return Pipeline(stages=[index, *_inputs(cols, categories), versus]).fit(train)
+    if categories or not set(params) <= BOOST_PARAMS - {"lossType"}:
+        return Pipeline(stages=[index, *_inputs(cols, categories), versus]).fit(train)
+    indexed = index.fit(train)
+    cells = _cells(booster, params, BOOST_PARAMS, indexed.transform(train), "label", cols)
+    if cells is None:
+        return Pipeline(stages=[indexed, *_inputs(cols), versus]).fit(train)
+    try:
+        classes = cells.boost_classes(_growth(booster), booster.getMaxIter(), booster.getStepSize())
+    finally:
+        cells.close()
+    found = [spark_model(train.sparkSession, booster, trees, len(cols), booster.getStepSize()) for trees in classes]
+    return PipelineModel([indexed, *_inputs(cols), versus._copyValues(OneVsRestModel(models=found))])
 
 
 def grid_search(

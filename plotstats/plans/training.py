@@ -256,7 +256,7 @@ def ml_forest(spark, sf_dir):
 
 def ml_classifier(spark, sf_dir):
     train, test = _model_rows(spark, sf_dir)
-    model = models.train_classifier(train, "land_use", FEATURES, maxIter=3, maxDepth=3)
+    model = models.train_classifier(train, "land_use", FEATURES)
     return model.transform(test).groupBy("land_use", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
