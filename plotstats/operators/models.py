@@ -61,7 +61,15 @@ def train_boost(train: DataFrame, label: str, cols: Sequence[str], weight: str |
 
 def train_forest(train: DataFrame, label: str, cols: Sequence[str], trees: int = 100, categories: Sequence[str] = (), **params) -> PipelineModel:
     forest = RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, seed=42, **params)
-    return Pipeline(stages=[*_inputs(cols, categories), forest]).fit(train)
+    # a single tree has all rows and looks at all features
+    cells = _cells(forest, params, TREE_PARAMS, train, label, cols) if trees > 1 and not categories else None
+    if cells is None:
+        return Pipeline(stages=[*_inputs(cols, categories), forest]).fit(train)
+    try:
+        grown = cells.forest(_growth(forest, looked_at=-(-len(cols) // 3), draw=np.random.default_rng(42)), trees)
+    finally:
+        cells.close()
+    return PipelineModel([*_inputs(cols), spark_model(train.sparkSession, forest, grown, len(cols))])
 
 
 def train_classifier(train: DataFrame, label: str, cols: Sequence[str], categories: Sequence[str] = (), **params) -> PipelineModel:

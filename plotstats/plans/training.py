@@ -250,7 +250,7 @@ select feature, arg_max(x, gain) as value, round(max(gain), 4) as gain from gain
 
 def ml_forest(spark, sf_dir):
     train, test = _model_rows(spark, sf_dir)
-    model = models.train_forest(train, "tree_cover", FEATURES, trees=20)
+    model = models.train_forest(train, "tree_cover", FEATURES)
     return _report(model, test, "tree_cover", False)
 
 

@@ -49,7 +49,25 @@ def test_classes_are_those_of_spark(spark, rows):
         assert predictions(found, rows) == predictions(want, rows)
 
 
-@pytest.mark.parametrize("name, function, trees", [("ml_classifier", "train_classifier", 100)])
+def test_forests_draw_rows_and_features(spark, rows, monkeypatch):
+    model = models.train_forest(rows, "y", COLS)
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(cells, "AT_ONCE", 5000)
+    again = models.train_forest(rows, "y", COLS)
+    want = [Pipeline(stages=[*models._inputs(COLS), RandomForestRegressor(labelCol="y", numTrees=100, seed=s)]).fit(rows) for s in (1, 2, 3)]
+    assert model.stages[-1].getNumTrees == 100
+    assert predictions(model, rows) == pytest.approx(predictions(again, rows))
+    assert error(model, rows) == pytest.approx(np.mean([error(m, rows) for m in want]), rel=0.05)
+    # each tree has about as many rows as there are, each row as often as the Poisson distribution has it
+    block = (np.array([5, 9]), np.array([0, 40_000, 60_000]), np.linspace(0, 1, 60_000), np.ones(60_000, "i8"))
+    n, y, q = cells._bagged(block, 3)
+    assert n.sum() == pytest.approx(60_000, rel=0.02) and y.sum() == pytest.approx(30_000, rel=0.03)
+    one = (np.array([5]), np.array([0, 1]), np.array([2.0]), np.array([3_000_000]))
+    n, y, q = cells._bagged(one, 3)
+    assert n[0] == pytest.approx(3_000_000, rel=0.003) and (y[0], q[0]) == (2 * n[0], 4 * n[0])
+
+
+@pytest.mark.parametrize("name, function, trees", [("ml_forest", "train_forest", 100), ("ml_classifier", "train_classifier", 100)])
 def test_queries_train_whole_models(spark, monkeypatch, name, function, trees):
     """As many trees, and as deep ones, as the operators have by default."""
     trained = []
