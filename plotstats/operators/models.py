@@ -55,8 +55,20 @@ def gbt_regressor(label: str, weight: str | None = None, **params) -> GBTRegress
     return model.setWeightCol(weight) if weight else model
 
 
-def train_boost(train: DataFrame, label: str, cols: Sequence[str], weight: str | None = None, categories: Sequence[str] = (), **params) -> PipelineModel:
-    return Pipeline(stages=[*_inputs(cols, categories), gbt_regressor(label, weight, **params)]).fit(train)
+def train_boost(
+    train: DataFrame, label: str, cols: Sequence[str], weight: str | None = None, categories: Sequence[str] = (), by_cell: bool = False, **params
+) -> PipelineModel:
+    """`by_cell`: trained on cells where that can be done, with bins cut by all rows instead of Spark's sample."""
+    booster = gbt_regressor(label, weight, **params)
+    plain = by_cell and weight is None and not categories and booster.getLossType() == "absolute"
+    cells = _cells(booster, params, BOOST_PARAMS, train, label, cols) if plain else None
+    if cells is None:
+        return Pipeline(stages=[*_inputs(cols, categories), booster]).fit(train)
+    try:
+        ((trees, _),) = cells.boost_absolute([_boosting(booster)])
+    finally:
+        cells.close()
+    return PipelineModel([*_inputs(cols), spark_model(train.sparkSession, booster, trees, len(cols), booster.getStepSize())])
 
 
 def train_forest(train: DataFrame, label: str, cols: Sequence[str], trees: int = 100, categories: Sequence[str] = (), **params) -> PipelineModel:

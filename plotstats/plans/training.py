@@ -205,7 +205,7 @@ def ml_gbt(spark, sf_dir):
     """Trained, saved, loaded again and evaluated on the held-out rows."""
     train, test = _model_rows(spark, sf_dir)
     path = scratch_path(spark, "model")
-    models.save_model(models.train_boost(train, "t", FEATURES, maxIter=5, maxDepth=4), path)
+    models.save_model(models.train_boost(train, "t", FEATURES, by_cell=True), path)
     return _report(models.load_model(path), test, "t", True)
 
 

@@ -67,7 +67,7 @@ def test_forests_draw_rows_and_features(spark, rows, monkeypatch):
     assert n[0] == pytest.approx(3_000_000, rel=0.003) and (y[0], q[0]) == (2 * n[0], 4 * n[0])
 
 
-@pytest.mark.parametrize("name, function, trees", [("ml_forest", "train_forest", 100), ("ml_classifier", "train_classifier", 100)])
+@pytest.mark.parametrize("name, function, trees", [("ml_gbt", "train_boost", 100), ("ml_forest", "train_forest", 100), ("ml_classifier", "train_classifier", 100)])
 def test_queries_train_whole_models(spark, monkeypatch, name, function, trees):
     """As many trees, and as deep ones, as the operators have by default."""
     trained = []
