@@ -127,7 +127,26 @@ def grid_search(
         parallelism=parallelism,
         seed=42,
     )
-    return search.fit(train)
+    # one table of cells serves all combinations, so their bins are the same
+    plain = booster.getLossType() == "absolute" and set(grid) <= BOOST_PARAMS - {"maxBins", "lossType"}
+    cells = _cells(booster, params, BOOST_PARAMS, train, label, cols, folds) if plain else None
+    if cells is None:
+        return search.fit(train)
+    tried = [booster.copy(combination) for combination in search.getEstimatorParamMaps()]
+    try:
+        for one in tried:
+            one._transfer_params_to_java()
+        # all combinations and folds grow side by side
+        fitted = cells.boost_absolute([_boosting(one, fold) for fold in range(folds) for one in tried])
+        scores = cells.errors([(i // len(tried), reached) for i, (_, reached) in enumerate(fitted)])
+        by_fold = [scores[i : i + len(tried)] for i in range(0, len(scores), len(tried))]
+        means, spread = CrossValidator._gen_avg_and_std_metrics(by_fold)
+        best = tried[int(np.argmin(means))]
+        ((trees, _),) = cells.boost_absolute([_boosting(best)])
+    finally:
+        cells.close()
+    model = PipelineModel([*_inputs(cols), spark_model(train.sparkSession, best, trees, len(cols), best.getStepSize())])
+    return search._copyValues(CrossValidatorModel(model, means, None, spread))
 
 
 def search_results(found: CrossValidatorModel) -> list[dict]:

@@ -262,7 +262,7 @@ def ml_classifier(spark, sf_dir):
 
 def ml_grid_search(spark, sf_dir):
     train, _ = _model_rows(spark, sf_dir)
-    found = models.grid_search(train, "t", FEATURES, {"maxDepth": [2, 4]}, maxIter=3)
+    found = models.grid_search(train, "t", FEATURES, {"maxDepth": [2, 4]})
     rows = [(int(r["maxDepth"]), round(float(r["mae"]), 6)) for r in models.search_results(found)]
     return spark.createDataFrame(rows, "max_depth int, mae double")
 
